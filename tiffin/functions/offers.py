@@ -7,24 +7,22 @@ from pyspark.sql import functions as F
 
 from tiffin.schemas import DIGIT_RUN, FLAT_DISCOUNT_RATE, NO_DISCOUNT_TEXTS, PERCENT_DIGITS
 
-# What a plain decimal literal looks like once lower-cased. Spark's own cast is wider (it
-# takes `10d` and `7f`), so text is matched against this before it is cast.
-NUMBER_TEXT = (
-    r"^[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?$"
-    r"|^[+-]?inf(inity)?$|^[+-]?nan$"
+# What a decimal literal looks like once lower-cased. Spark's own cast is wider (it takes
+# `10d` and `7f`), so text is matched against this before it is cast.
+NUMBER = (
+    r"[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+(?:_\d+)*)?"
+    r"|inf(?:inity)?|nan)"
 )
-SPACES = r"(?U)\s+"
+# White space in the Unicode sense, spelled out since the regex flag for it is slow.
+SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+WHOLE_NUMBER_TEXT = rf"^{SPACE}*({NUMBER}){SPACE}*$"
+FIRST_NUMBER_WORD = rf"(?:^|{SPACE})({NUMBER})(?={SPACE}|$)"
 
 
-def _number(text: Column) -> Column:
-    """The double a decimal literal stands for, NULL for any other text."""
-    bare = F.regexp_replace(text, "(?U)^\\s+|\\s+$", "")
-    return F.when(
-        bare.rlike(NUMBER_TEXT),
-        F.when(bare.endswith("nan"), F.lit(float("nan"))).otherwise(
-            F.regexp_replace(bare, "_", "").try_cast("double")
-        ),
-    )
+def _number(text: Column, pattern: str) -> Column:
+    """The double that `pattern` finds in a text, NULL if it finds none."""
+    found = F.replace(F.regexp_extract(text, pattern, 1), F.lit("_"), F.lit(""))
+    return F.when(found.endswith("nan"), F.lit(float("nan"))).otherwise(found.try_cast("double"))
 
 
 def discount_percent(offer: Column) -> Column:
@@ -50,9 +48,8 @@ def discount_value_regex(offer: Column, order_value: Column) -> Column:
 def discount_value_token(offer: Column, order_value: Column) -> Column:
     """Stricter reading: the whole text before `%`, or a whole word, must be a number."""
     text = F.lower(offer)
-    before_sign = _number(F.substring_index(text, "%", 1))
-    words = F.transform(F.split(text, SPACES), _number)
-    first_number = F.get(F.filter(words, lambda number: number.isNotNull()), F.lit(0))
+    before_sign = _number(F.substring_index(text, "%", 1), WHOLE_NUMBER_TEXT)
+    first_number = _number(text, FIRST_NUMBER_WORD)
     zero = F.lit(0.0)
     return (
         F.when(

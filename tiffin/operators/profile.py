@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,38 +51,84 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of all pairs, each over the rows where both are present.
 
-    One aggregation computes the upper triangle; the other half is its mirror image. The
-    result has one row per ordered pair.
+    Rows are grouped by which columns they have, so inside a group no sum needs a null test
+    per pair, and plain sums of products are enough for every pair at once. They stay within
+    generated code, unlike one `corr` per pair, whose buffers outgrow it. Values are shifted
+    by a typical value first, which keeps the sums well conditioned and cancels out of the
+    result. The result has one row per ordered pair, NULL where a column does not vary.
     """
     columns = columns or numeric_columns(df)
-    pairs = list(combinations(range(len(columns)), 2))
-    names = {pair: f"c_{pair[0]}_{pair[1]}" for pair in pairs}
-    # A column agrees with itself, unless it never varies and has no correlation at all.
-    selves = {(i, i): f"c_{i}_{i}" for i in range(len(columns))}
-    row = df.agg(
-        *[
-            F.corr(quoted(columns[i]), quoted(columns[j])).alias(names[i, j])
-            for i, j in pairs
-        ],
-        *[
-            F.when(F.min(quoted(c)) < F.max(quoted(c)), F.lit(1.0)).alias(selves[i, i])
-            for i, c in enumerate(columns)
-        ],
+    n_columns = len(columns)
+    missing = F.lit(float("nan"))
+    values = df.select(
+        *[F.nullif(F.col(quoted(c)).cast("double"), missing).alias(f"x{i}") for i, c in enumerate(columns)]
     )
-    cells = {**names, **{(j, i): name for (i, j), name in names.items()}, **selves}
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(columns[i]).alias("column_a"),
-                        F.lit(columns[j]).alias("column_b"),
-                        F.col(name).alias("correlation"),
-                    )
-                    for (i, j), name in sorted(cells.items())
-                ]
-            )
+    typical = (
+        values.limit(1000)
+        .agg(F.struct(*[F.coalesce(F.avg(f"x{i}"), F.lit(0.0)).alias(f"x{i}") for i in range(n_columns)]))
+        .scalar()
+    )
+    shifted = values.select(
+        *[(F.col(f"x{i}") - typical.getField(f"x{i}")).alias(f"x{i}") for i in range(n_columns)]
+    )
+    # One bit per column that is present, in as many long numbers as that takes.
+    bits = [F.when(F.col(f"x{i}").isNotNull(), 1 << (i % 62)).otherwise(0) for i in range(n_columns)]
+    present = [
+        reduce(add, bits[start : start + 62]).cast("bigint").alias(f"has{start}")
+        for start in range(0, n_columns, 62)
+    ]
+    pairs = [(i, j) for i in range(n_columns) for j in range(i, n_columns)]
+    moments = shifted.groupBy(*present).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(f"x{i}").alias(f"s{i}") for i in range(n_columns)],
+        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs],
+        *[F.min(f"x{i}").alias(f"lo{i}") for i in range(n_columns)],
+        *[F.max(f"x{i}").alias(f"hi{i}") for i in range(n_columns)],
+    )
+
+    def one_pair(i: int, j: int) -> Column:
+        return F.struct(
+            F.lit(i).alias("i"),
+            F.lit(j).alias("j"),
+            F.col(f"s{i}").alias("sx"),
+            F.col(f"s{j}").alias("sy"),
+            F.col(f"p{i}_{i}").alias("sxx"),
+            F.col(f"p{j}_{j}").alias("syy"),
+            F.col(f"p{i}_{j}").alias("sxy"),
+            F.col(f"lo{i}").alias("lox"),
+            F.col(f"hi{i}").alias("hix"),
+            F.col(f"lo{j}").alias("loy"),
+            F.col(f"hi{j}").alias("hiy"),
         )
+
+    per_pair = (
+        moments.select("n", F.explode(F.array(*[one_pair(i, j) for i, j in pairs])).alias("pair"))
+        .select("n", "pair.*")
+        .where(F.col("sx").isNotNull() & F.col("sy").isNotNull())
+        .groupBy("i", "j")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
+            ((F.min("lox") < F.max("hix")) & (F.min("loy") < F.max("hiy"))).alias("varies"),
+        )
+    )
+    n = F.col("n")
+    covariance = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    spread_x = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    spread_y = F.col("syy") - F.col("sy") * F.col("sy") / n
+    value = F.when(F.col("i") == F.col("j"), 1.0).otherwise(
+        covariance / (F.sqrt(spread_x) * F.sqrt(spread_y))
+    )
+    correlation = F.when(F.col("varies"), value)
+    names = F.array(*[F.lit(c) for c in columns])
+    both_ways = F.when(F.col("i") == F.col("j"), F.array(F.array("i", "j"))).otherwise(
+        F.array(F.array("i", "j"), F.array("j", "i"))
+    )
+    return per_pair.select(
+        correlation.alias("correlation"), F.explode(both_ways).alias("at")
+    ).select(
+        F.get(names, F.get("at", F.lit(0))).alias("column_a"),
+        F.get(names, F.get("at", F.lit(1))).alias("column_b"),
+        "correlation",
     )
 
 
