@@ -96,33 +96,39 @@ def event_number(uuid: Column) -> Column:
     return F.substring(uuid, 2, 20).cast("bigint")
 
 
-def requests_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests in which every tenth one is sent a second time, ten minutes later."""
-    first = requests(spark, sf_dir).withColumn("attempt", F.lit(0))
+def with_repeats(requests_df: DataFrame) -> DataFrame:
+    """Every tenth request a second time, ten minutes later, marked by `attempt`.
+
+    The repeats are made by exploding, so the requests are read only once.
+    """
     attempts = F.when(
         F.pmod(event_number(F.col("UUID")), F.lit(10)) == 0, F.array(F.lit(0), F.lit(1))
     ).otherwise(F.array(F.lit(0)))
-    # One scan: the repeats are made by exploding and not by a union with a second read.
-    return (
-        first.withColumn("attempt", F.explode(attempts))
-        .withColumn(
-            "order_date_and_time",
-            _minutes_after(F.col("order_date_and_time"), F.col("attempt") * 10),
-        )
+    return requests_df.withColumn("attempt", F.explode(attempts)).withColumn(
+        "order_date_and_time",
+        _minutes_after(F.col("order_date_and_time"), F.col("attempt") * 10),
     )
 
 
-def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_repeats(requests(spark, sf_dir))
+
+
+def responses_from_events(events_df: DataFrame) -> DataFrame:
     """Answers to six out of seven requests, up to a minute and a half after them."""
     number = F.col("event_id")
     sent = F.date_trunc("second", F.col("ts").cast("timestamp"))
-    return events(spark, sf_dir).where(F.pmod(number, F.lit(7)) != 0).select(
+    return events_df.where(F.pmod(number, F.lit(7)) != 0).select(
         F.concat(F.lit("e"), number).alias("UUID"),
         (F.lit(20.0) + F.pmod(number, F.lit(60))).alias("prediction"),
         F.timestamp_add("SECOND", F.pmod(number, F.lit(90)), sent).alias("resp_ts"),
     )
 
 
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses_from_events(events(spark, sf_dir))
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered orders with a prediction beside the actual minutes."""
     return delivery_orders(spark, sf_dir).withColumn(
