@@ -9,13 +9,11 @@ from tiffin.catalog.registry import query
 from tiffin.catalog.views import sql
 from tiffin.functions import clock, ledger, offers
 from tiffin.operators import boxes, profile
+from tiffin.plans import report
 from tiffin.plans.features import with_finance
+from tiffin.plans.report import MEASURES
 from tiffin.sources import fixtures
 
-MEASURES = [
-    "order_value", "delivery_fee", "commission_fee", "payment_processing_fee", "refunds",
-    "delivery_minutes", "hour_of_day", "discount_value", "total_cost", "profit",
-]
 # Order lines have no unique number of their own; this order has no ties.
 TIE_BREAK = ["order_id", "line_no", "l_partkey", "restaurant_id", "order_value"]
 
@@ -143,6 +141,18 @@ def batch_counts(spark, sf_dir):
     )
 
 
+@query(
+    "offer_rollup_means",
+    sql("finance", """
+SELECT coalesce(discounts_and_offers, 'nan') AS discounts_and_offers, round(avg(profit), 4) AS mean_profit
+FROM finance GROUP BY 1"""),
+)
+def offer_rollup_means(spark, sf_dir):
+    """Mean profit per offer as the report gets it, from its one table of sums."""
+    means = report.offer_means(report.offer_rollup(priced(spark, sf_dir)))
+    return rounded(means, ["mean_profit"])
+
+
 # -- box statistics ---------------------------------------------------------
 
 _BOX_COLUMNS = ["q1", "median", "q3", "whisker_low", "whisker_high"]
@@ -280,18 +290,9 @@ SELECT k.grouping AS "grouping", k.level AS "level", * EXCLUDE (k) FROM (SELECT
 @query("box_report", _report_sql())
 def box_report(spark, sf_dir):
     """Five of the box plots in one scan."""
-    ts = F.col("order_ts")
-    by = {
-        "day_of_week": clock.weekday_name(ts),
-        "has_discount": offers.has_discount_not_none(F.col("discounts_and_offers")),
-        "payment_method": F.col("payment_method"),
-        "refunded": F.col("refunds") > 0,
-        "hour_of_day": clock.hour_of_day(ts),
-    }
-    minutes = clock.duration_minutes_exact(ts, F.col("delivery_ts"))
-    return rounded(
-        boxes.box_report(fixtures.delivery_orders(spark, sf_dir), by, minutes), _BOX_COLUMNS
-    )
+    minutes = clock.duration_minutes_exact(F.col("order_ts"), F.col("delivery_ts"))
+    orders = fixtures.delivery_orders(spark, sf_dir)
+    return rounded(boxes.box_report(orders, report.box_groupings(), minutes), _BOX_COLUMNS)
 
 
 # -- sorting and top lists --------------------------------------------------

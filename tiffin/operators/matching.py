@@ -29,14 +29,16 @@ def _join_by_id(left: DataFrame, right: DataFrame, how: str, key: str = "UUID")
     )
 
 
-def first_response(responses: DataFrame, columns: list[str]) -> DataFrame:
-    """The earliest response per id; partial aggregation shrinks repeated ids map-side."""
-    earliest = F.min(F.struct("resp_ts", *[c for c in columns if c != "resp_ts"]))
+def first_response(responses: DataFrame) -> DataFrame:
+    """The prediction of the earliest response per id.
+
+    Partial aggregation shrinks repeated ids before the shuffle, and with fixed-width
+    buffers only it stays a hash aggregation.
+    """
     return (
         responses.where(F.col("UUID").isNotNull())
         .groupBy("UUID")
-        .agg(earliest.alias("_first"))
-        .select("UUID", *[F.col(f"_first.{c}") for c in columns])
+        .agg(F.min_by("prediction", "resp_ts").alias("prediction"))
     )
 
 
@@ -47,7 +49,7 @@ def attach_context_left(predictions: DataFrame, context: DataFrame) -> DataFrame
 
 def response_lookup(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """For each request whether its response is there, and the response."""
-    answered = first_response(responses, ["prediction"]).withColumn("_found", F.lit(True))
+    answered = first_response(responses).withColumn("_found", F.lit(True))
     return _join_by_id(requests.select("UUID"), answered, "left").select(
         F.col("UUID").alias("id"),
         F.when(F.col("_found"), "done").otherwise("pending").alias("status"),

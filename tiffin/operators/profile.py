@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,76 +55,48 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     result. The result has one row per ordered pair, NULL where a column does not vary.
     """
     columns = columns or numeric_columns(df)
-    n_columns = len(columns)
-    missing = F.lit(float("nan"))
-    values = df.select(
-        *[F.nullif(F.col(quoted(c)).cast("double"), missing).alias(f"x{i}") for i, c in enumerate(columns)]
-    )
-    typical = (
-        values.limit(1000)
-        .agg(F.struct(*[F.coalesce(F.avg(f"x{i}"), F.lit(0.0)).alias(f"x{i}") for i in range(n_columns)]))
-        .scalar()
+    at = range(len(columns))
+    pairs = [(i, j) for i in at for j in at if i <= j]
+    values = df.selectExpr(
+        *[f"nullif(cast({quoted(c)} as double), double('NaN')) as x{i}" for i, c in enumerate(columns)]
     )
-    shifted = values.select(
-        *[(F.col(f"x{i}") - typical.getField(f"x{i}")).alias(f"x{i}") for i in range(n_columns)]
+    centres = ", ".join(f"'x{i}', coalesce(avg(x{i}), 0D)" for i in at)
+    typical = values.limit(1000).agg(F.expr(f"named_struct({centres})")).scalar()
+    shifted = values.withColumn("centre", typical).selectExpr(
+        *[f"x{i} - centre.x{i} as x{i}" for i in at]
     )
     # One bit per column that is present, in as many long numbers as that takes.
-    bits = [F.when(F.col(f"x{i}").isNotNull(), 1 << (i % 62)).otherwise(0) for i in range(n_columns)]
-    present = [
-        reduce(add, bits[start : start + 62]).cast("bigint").alias(f"has{start}")
-        for start in range(0, n_columns, 62)
-    ]
-    pairs = [(i, j) for i in range(n_columns) for j in range(i, n_columns)]
+    bits = [f"if(x{i} is null, 0L, {1 << (i % 62)}L)" for i in at]
+    present = [F.expr(" + ".join(bits[k : k + 62])).alias(f"has{k}") for k in at[::62]]
     moments = shifted.groupBy(*present).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(f"x{i}").alias(f"s{i}") for i in range(n_columns)],
-        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for i, j in pairs],
-        *[F.min(f"x{i}").alias(f"lo{i}") for i in range(n_columns)],
-        *[F.max(f"x{i}").alias(f"hi{i}") for i in range(n_columns)],
+        F.expr("count(1) as n"),
+        *[F.expr(f"sum(x{i}) as s{i}") for i in at],
+        *[F.expr(f"sum(x{i} * x{j}) as p{i}_{j}") for i, j in pairs],
+        *[F.expr(f"{f}(x{i}) as {f}{i}") for f in ("min", "max") for i in at],
     )
-
-    def one_pair(i: int, j: int) -> Column:
-        return F.struct(
-            F.lit(i).alias("i"),
-            F.lit(j).alias("j"),
-            F.col(f"s{i}").alias("sx"),
-            F.col(f"s{j}").alias("sy"),
-            F.col(f"p{i}_{i}").alias("sxx"),
-            F.col(f"p{j}_{j}").alias("syy"),
-            F.col(f"p{i}_{j}").alias("sxy"),
-            F.col(f"lo{i}").alias("lox"),
-            F.col(f"hi{i}").alias("hix"),
-            F.col(f"lo{j}").alias("loy"),
-            F.col(f"hi{j}").alias("hiy"),
-        )
-
+    one_pair = (
+        "named_struct('i', {i}, 'j', {j}, 'sx', s{i}, 'sy', s{j}, 'sxx', p{i}_{i}, 'syy', p{j}_{j},"
+        " 'sxy', p{i}_{j}, 'lox', min{i}, 'hix', max{i}, 'loy', min{j}, 'hiy', max{j})"
+    )
+    listed = ", ".join(one_pair.format(i=i, j=j) for i, j in pairs)
+    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
     per_pair = (
-        moments.select("n", F.explode(F.array(*[one_pair(i, j) for i, j in pairs])).alias("pair"))
-        .select("n", "pair.*")
-        .where(F.col("sx").isNotNull() & F.col("sy").isNotNull())
+        moments.selectExpr("n", f"inline(array({listed}))")
+        .where("sx is not null and sy is not null")
         .groupBy("i", "j")
         .agg(
-            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
-            ((F.min("lox") < F.max("hix")) & (F.min("loy") < F.max("hiy"))).alias("varies"),
+            *[F.sum(c).alias(c) for c in sums],
+            F.expr("min(lox) < max(hix) and min(loy) < max(hiy) as varies"),
         )
     )
-    n = F.col("n")
-    covariance = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    spread_x = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    spread_y = F.col("syy") - F.col("sy") * F.col("sy") / n
-    value = F.when(F.col("i") == F.col("j"), 1.0).otherwise(
-        covariance / (F.sqrt(spread_x) * F.sqrt(spread_y))
-    )
-    correlation = F.when(F.col("varies"), value)
-    names = F.array(*[F.lit(c) for c in columns])
-    both_ways = F.when(F.col("i") == F.col("j"), F.array(F.array("i", "j"))).otherwise(
-        F.array(F.array("i", "j"), F.array("j", "i"))
-    )
-    return per_pair.select(
-        correlation.alias("correlation"), F.explode(both_ways).alias("at")
-    ).select(
-        F.get(names, F.get("at", F.lit(0))).alias("column_a"),
-        F.get(names, F.get("at", F.lit(1))).alias("column_b"),
+    names = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in columns)
+    return per_pair.selectExpr(
+        "case when not varies then null when i = j then 1D else (sxy - sx * sy / n)"
+        " / (sqrt(sxx - sx * sx / n) * sqrt(syy - sy * sy / n)) end as correlation",
+        "explode(if(i = j, array(array(i, j)), array(array(i, j), array(j, i)))) as place",
+    ).selectExpr(
+        f"get(array({names}), place[0]) as column_a",
+        f"get(array({names}), place[1]) as column_b",
         "correlation",
     )
 

@@ -33,11 +33,24 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return prepare(builder.getOrCreate())
 
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+PARTITIONS_PER_CORE = 3
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Put the settings the results depend on onto an existing session."""
+    """Put the settings that results and scale depend on onto an existing session.
+
+    The default number of shuffle partitions would make them far too large on many cores,
+    so it is raised with the cluster, never lowered and never if somebody has chosen it.
+    Adaptive execution joins small partitions again.
+    """
     for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
         if spark.conf.get(key).lower() != RUNTIME_CONF[key].lower():
             spark.conf.set(key, RUNTIME_CONF[key])
+    wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+    chosen = spark.sparkContext.getConf().contains(PARTITIONS)
+    if not chosen and int(spark.conf.get(PARTITIONS)) < wanted:
+        spark.conf.set(PARTITIONS, str(wanted))
     return spark
 
 
@@ -51,10 +64,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     session = spark.newSession()
     for key, value in RUNTIME_CONF.items():
         session.conf.set(key, value)
-    session.conf.set(
-        "spark.sql.shuffle.partitions",
-        str(state_partitions or spark.sparkContext.defaultParallelism),
-    )
+    session.conf.set(PARTITIONS, str(state_partitions or spark.sparkContext.defaultParallelism))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return session
 
