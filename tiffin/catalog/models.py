@@ -21,13 +21,13 @@ from tiffin.sources import fixtures
 KEYS = ["order_id", "line_no", "l_partkey"]
 
 
-def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_rows(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Feature rows whose label depends on the features.
 
     The minutes of the derived table are a hash of its keys, which no model can learn, so
     the fee and the rush hour are added to them.
     """
-    rows = build_training_rows(canonical_fixture(fixtures.delivery_orders(spark, sf_dir)))
+    rows = build_training_rows(canonical_fixture(fixtures.delivery_orders(spark, sf_dir, heavy)))
     planted = F.col(LABEL) + F.col("delivery_fee_dbl") * 2 + F.col("es_hora_punta") * 40
     return rows.withColumn(LABEL, planted)
 
@@ -210,7 +210,7 @@ def gbt_train_sizes(spark, sf_dir):
 @query("score_batch")
 def score_batch(spark, sf_dir):
     model = trained(spark, sf_dir).model
-    return training.score(model, training_rows(spark, sf_dir), [*LINE, LABEL])
+    return training.score(model, training_rows(spark, sf_dir, heavy=True), [*LINE, LABEL])
 
 
 @query(
@@ -230,7 +230,7 @@ def model_save_load(spark, sf_dir):
     model = trained(spark, sf_dir).model
     path = work_path(spark, "model")
     training.save_model(model, path)
-    rows = training_rows(spark, sf_dir)
+    rows = training_rows(spark, sf_dir, heavy=True)
     vectors = ["features", *[f"{c}_{kind}" for c in CATEGORY_FEATURES for kind in ("idx", "vec")]]
     before = model.transform(rows).withColumnRenamed("prediction", "before").drop(*vectors)
     both = training.load_model(path).transform(before)

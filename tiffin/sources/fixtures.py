@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiffin.sources.tables import use_all_cores
+
 
 def _minutes_after(ts: Column, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes, ts)
@@ -27,9 +29,14 @@ def _offer(discount: Column) -> Column:
     )
 
 
-def delivery_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delivered orders: one row per order line."""
+def delivery_orders(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Delivered orders: one row per order line.
+
+    `heavy` is for work that costs far more per row than reading it, such as scoring: a
+    table in few splits is then spread over all cores first.
+    """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = use_all_cores(lines) if heavy else lines
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     start = F.pmod(

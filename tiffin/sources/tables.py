@@ -17,6 +17,16 @@ def read_orders_csv(
     return reader.schema(schema).csv(path)
 
 
+def use_all_cores(scan: DataFrame) -> DataFrame:
+    """Spread the rows of a plain scan that has fewer splits than the cluster has cores.
+
+    A small table, or a file that cannot be split, would keep all later work on a few cores.
+    A table with enough splits, as any large one has, is left as it is: no shuffle is added.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def schema_shape(df: DataFrame) -> DataFrame:
     """One row per column with its type, beside the row and column counts of the table."""
     fields = F.array(
