@@ -1,10 +1,10 @@
 """Matching requests, predictions and responses by request id.
 
-All of these are joins on an id that may be missing or blank for many rows. Rows without an
-id can never match, yet an outer or anti join would send every one of them to the same
-task, so the join key carries a second part that spreads them. That second part also makes
-the join shuffle both of its sides on their own, which is what lets adaptive execution
-split a partition that one hot id has filled.
+The id may be missing in many rows, and one id may occur very often. Rows without an id can
+never match, yet an outer or anti join would send all of them to one task, so the join key
+has a second part that spreads them. The second part also keeps the planner from reusing
+the partitioning of an earlier aggregation: both sides are then shuffled for the join itself,
+which is what lets adaptive execution split the partition of an id that is hot.
 """
 
 from __future__ import annotations
@@ -19,12 +19,14 @@ _SPREAD = "_spread"
 
 
 def _join_by_id(left: DataFrame, right: DataFrame, how: str, key: str = "UUID") -> DataFrame:
-    """Left-preserving join on `key` in which rows without a key are spread evenly."""
+    """Left-preserving join on `key` that copes with missing and with hot keys."""
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    spread = F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(SPREAD))).otherwise(0)
+    spread = F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(SPREAD))).otherwise(F.lit(0))
+    # Always 0, but computed from the row: a literal would be folded out of the join key.
+    nothing = F.pmod(F.xxhash64(key), F.lit(1))
     return (
-        left.withColumn(_SPREAD, spread.cast("int"))
-        .join(right.withColumn(_SPREAD, F.lit(0)), [key, _SPREAD], how)
+        left.withColumn(_SPREAD, spread.cast("bigint"))
+        .join(right.withColumn(_SPREAD, nothing.cast("bigint")), [key, _SPREAD], how)
         .drop(_SPREAD)
     )
 

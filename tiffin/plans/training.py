@@ -139,28 +139,35 @@ def train(
     numeric, categories = numeric or TRAINING_NUMERIC_FEATURES, categories or CATEGORY_FEATURES
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
-    needed = drop_null_label(rows, label).select(
-        *dict.fromkeys([*keys, *numeric, *categories, label])
+    # The split is made on the stored features: cleaning and joining happen once for both
+    # sides, and the vectors of either side are only made when they are used.
+    stored = (
+        drop_null_label(rows, label)
+        .select(*dict.fromkeys([*keys, *numeric, *categories, label]))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    learn, held_out = train_test_split(needed, keys)
-    learn = learn.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_train = check_labels(learn, categories)
-        spread = _spread_if_few_partitions(learn)
+        n_train = check_labels(train_test_split(stored, keys)[0], categories)
+        spread = _spread_if_few_partitions(stored)
         try:
-            model = build_pipeline(numeric, categories, label, max_depth, max_iter).fit(spread)
-            mean = spread.agg(F.avg(label)).first()[0]
+            learn, held_out = train_test_split(spread, keys)
+            model = build_pipeline(numeric, categories, label, max_depth, max_iter).fit(learn)
+            mean = learn.agg(F.avg(label)).first()[0]
+            error = F.col(label) - F.col("prediction")
+            offset = F.col(label) - F.lit(mean)
+            row = (
+                model.transform(held_out)
+                .agg(
+                    F.count(F.lit(1)).alias("n"),
+                    F.sqrt(F.avg(error * error)).alias("rmse"),
+                    F.sqrt(F.avg(offset * offset)).alias("base"),
+                )
+                .first()
+            )
         finally:
             spread.unpersist()
     finally:
-        learn.unpersist()
-    error = F.col(label) - F.col("prediction")
-    scored = model.transform(held_out).select(label, "prediction")
-    row = scored.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sqrt(F.avg(error * error)).alias("rmse"),
-        F.sqrt(F.avg((F.col(label) - F.lit(mean)) * (F.col(label) - F.lit(mean)))).alias("base"),
-    ).first()
+        stored.unpersist()
     return TrainingResult(model, n_train, row["n"], row["rmse"], row["base"])
 
 
