@@ -21,8 +21,9 @@ _SPREAD = "_spread"
 def _join_by_id(left: DataFrame, right: DataFrame, how: str, key: str = "UUID") -> DataFrame:
     """Left-preserving join on `key` that copes with missing and with hot keys."""
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    spread = F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(SPREAD))).otherwise(F.lit(0))
-    # Always 0, but computed from the row: a literal would be folded out of the join key.
+    spread = F.pmod(row_hash, F.when(F.col(key).isNull(), SPREAD).otherwise(1))
+    # Where there is a key both parts are 0, but computed from the row: a literal would be
+    # folded out of the join key.
     nothing = F.pmod(F.xxhash64(key), F.lit(1))
     return (
         left.withColumn(_SPREAD, spread.cast("bigint"))
