@@ -39,7 +39,7 @@ def trained(spark: SparkSession, sf_dir: str) -> training.TrainingResult:
     """The model of this session and data folder, trained at its first use."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        _models[key] = training.train(training_rows(spark, sf_dir), KEYS, max_iter=20)
+        _models[key] = training.train(training_rows(spark, sf_dir, heavy=True), KEYS, max_iter=20)
     return _models[key]
 
 

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tiffin.operators.clean import present
+
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 WHISKER_REACH = 1.5
 
@@ -20,9 +22,10 @@ WHISKER_REACH = 1.5
 def histogram(df: DataFrame, groups: dict[str, Column], value: Column) -> DataFrame:
     """Row count per group and distinct value; rows with a missing part are left out."""
     named = df.select(*[c.alias(name) for name, c in groups.items()], value.alias("value"))
+    for name in [*groups, "value"]:
+        named = named.where(present(named, name))
     return (
-        named.na.drop()
-        .withColumn("cell", F.floor("value"))
+        named.withColumn("cell", F.floor("value"))
         .where(F.col("cell").isNotNull())
         .groupBy(*groups, "cell", "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -117,7 +120,7 @@ def box_report(df: DataFrame, by: dict[str, Column], value: Column) -> DataFrame
         *[c.cast("string").alias(name) for name, c in by.items()], value.alias("value")
     )
     joint = (
-        named.where(F.col("value").isNotNull())
+        named.where(present(named, "value"))
         .groupBy(*by, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiffin.functions.ledger import quoted, round_half_even, stringify
+from tiffin.operators.clean import present
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """How often each value occurs, most frequent first; missing values are not counted."""
     return (
-        df.na.drop(subset=[column])
+        df.where(present(df, column))
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), column)
@@ -109,7 +110,7 @@ def top_by(df: DataFrame, order: list[Column], n: int = 10) -> DataFrame:
 def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     """The `n` most frequent values, ties in value order."""
     return (
-        df.na.drop(subset=[column])
+        df.where(present(df, column))
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), column)

@@ -93,8 +93,9 @@ class TrainingResult:
 
 def check_labels(df: DataFrame, categories: list[str]) -> int:
     """Row count of the training rows; fails if a category column has too many labels."""
+    labels = {c: F.hll_sketch_estimate(F.hll_sketch_agg(c)) for c in categories}
     row = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c).alias(c) for c in categories]
+        F.count(F.lit(1)).alias("n"), *[estimate.alias(c) for c, estimate in labels.items()]
     ).first()
     wide = {c: row[c] for c in categories if row[c] > MAX_LABELS}
     if wide:
@@ -139,18 +140,17 @@ def train(
     numeric, categories = numeric or TRAINING_NUMERIC_FEATURES, categories or CATEGORY_FEATURES
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
-    # The split is made on the stored features: cleaning and joining happen once for both
-    # sides, and the vectors of either side are only made when they are used.
-    stored = (
-        drop_null_label(rows, label)
-        .select(*dict.fromkeys([*keys, *numeric, *categories, label]))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # Filter and split work on the stored features: cleaning and joining happen once for both
+    # sides, and the test of the label is not pushed down into the join as a second copy of
+    # everything the label is made from.
+    stored = rows.select(*dict.fromkeys([*keys, *numeric, *categories, label])).persist(
+        StorageLevel.MEMORY_AND_DISK
     )
     try:
-        n_train = check_labels(train_test_split(stored, keys)[0], categories)
+        n_train = check_labels(train_test_split(drop_null_label(stored, label), keys)[0], categories)
         spread = _spread_if_few_partitions(stored)
         try:
-            learn, held_out = train_test_split(spread, keys)
+            learn, held_out = train_test_split(drop_null_label(spread, label), keys)
             model = build_pipeline(numeric, categories, label, max_depth, max_iter).fit(learn)
             mean = learn.agg(F.avg(label)).first()[0]
             error = F.col(label) - F.col("prediction")

@@ -14,7 +14,13 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Generated methods above this size are never compiled by the JVM and run several times
+    # slower than the same work split over operators, which the planner then falls back to.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+PREPARED = (
+    "spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.codegen.hugeMethodLimit",
+)
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -44,7 +50,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     so it is raised with the cluster, never lowered and never if somebody has chosen it.
     Adaptive execution joins small partitions again.
     """
-    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+    for key in PREPARED:
         if spark.conf.get(key).lower() != RUNTIME_CONF[key].lower():
             spark.conf.set(key, RUNTIME_CONF[key])
     wanted = PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
