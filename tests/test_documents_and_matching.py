@@ -74,6 +74,15 @@ def test_mapped_types(spark):
     assert tuple(out.first()) == (9007199254740993, dt.datetime(2024, 5, 10, 12, 34), 7, None)
 
 
+def test_sample_as_json(spark):
+    from tiffin.sources.tables import sample_json
+
+    df = spark.createDataFrame([(2, None), (1, "x"), (3, "y"), (4, "z")], "a int, b string")
+    assert [r[0] for r in sample_json(df, ["a", "b"], ["a"]).collect()] == [
+        '{"a":1,"b":"x"}', '{"a":2}', '{"a":3,"b":"y"}',
+    ]
+
+
 def test_audit_row(spark):
     row = documents.request_audit_log(spark.createDataFrame([("u", 1)], "UUID string, a int")).first()
     assert row["request"].asDict() == {"UUID": "u", "a": 1}

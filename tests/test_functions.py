@@ -177,9 +177,13 @@ def test_iso_times(spark, text, tolerant, strict):
 
 
 def test_mixed_times_and_iso_text(spark):
-    df = spark.createDataFrame([("1715344440000",), ("2024-05-10 12:34:00",), ("bad",)], "t string")
+    texts = ["1715344440000", "2024-05-10 12:34:00", "bad", "2024-05-10 12:34:00.000000", "2024", "123", "-1000"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(clock.parse_mixed_timestamp(F.col("t"))).collect()]
-    assert got == [UTC_NOON, UTC_NOON, None]
+    assert got == [
+        UTC_NOON, UTC_NOON, None, UTC_NOON, dt.datetime(2024, 1, 1),
+        dt.datetime(1970, 1, 1, 0, 0, 0, 123000), dt.datetime(1969, 12, 31, 23, 59, 59),
+    ]
     times = [UTC_NOON, UTC_NOON.replace(microsecond=250), dt.datetime(1969, 12, 31, 23, 59, 59, 500000)]
     df = spark.createDataFrame([(t,) for t in times], "t timestamp")
     assert [r[0] for r in df.select(clock.iso_text(F.col("t"))).collect()] == [

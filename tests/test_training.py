@@ -66,10 +66,16 @@ def test_unknown_and_missing_categories_can_be_scored(spark, result):
     assert training.score(result.model, df).first()["prediction"] is not None
 
 
-def test_too_many_labels_stop_training(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(training, "MAX_LABELS", 3)
+def test_too_many_labels_stop_training(spark, sf_dir):
     with pytest.raises(ValueError, match="too many labels"):
-        training.train(training_rows(spark, sf_dir), KEYS, max_iter=1)
+        training.train(training_rows(spark, sf_dir), KEYS, max_iter=1, max_labels=3)
+
+
+def test_evaluator_equals_the_plain_aggregate(spark):
+    from tiffin.operators.profile import rmse
+
+    df = spark.createDataFrame([(1.0, 2.0), (5.0, 2.5), (4.0, 4.0)], f"{LABEL} double, prediction double")
+    assert training.evaluate(df) == pytest.approx(rmse(df, LABEL, "prediction").first()[0])
 
 
 def test_no_labels_stop_training(spark, sf_dir):
@@ -96,7 +102,9 @@ def test_train_job_reads_any_spelling(spark, sf_dir, folder):
     from tiffin.catalog.columns import spaced_orders
 
     raw = spaced_orders(spark, sf_dir)
-    done = train_job.run(raw, f"{folder}/model", keys=["order_id", "line_no"], max_depth=2, max_iter=1)
+    done = train_job.run(raw, f"{folder}/model", keys=["order_id", "line_no"], max_depth=2, max_iter=1,
+                         refund_amount=True)
+    assert "refunds_chargebacks_dbl" in done.model.stages[2].getInputCols()
     assert done.n_train + done.n_test == raw.count()
     assert os.path.isdir(f"{folder}/model/metadata")
 

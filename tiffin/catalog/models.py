@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import (
+    OneHotEncoderModel,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,9 +127,7 @@ def one_hot(spark, sf_dir):
     )
 
 
-@query(
-    "assemble_features",
-    sql("finance", _INDEX_SQL + f"""
+_ASSEMBLED_SQL = sql("finance", _INDEX_SQL + f"""
 SELECT {LINE_SQL}, round(order_value, 4) AS x0, round(delivery_fee, 4) AS x1, round(commission_fee, 4) AS x2,
   round(payment_processing_fee, 4) AS x3, round(discount_value, 4) AS x4,
   CAST(CASE WHEN coalesce(lower(discounts_and_offers), 'none') = 'none' THEN 0 ELSE 1 END AS DOUBLE) AS x5,
@@ -133,15 +136,17 @@ SELECT {LINE_SQL}, round(order_value, 4) AS x0, round(delivery_fee, 4) AS x1, ro
   CAST(CASE WHEN hour(order_ts) IN (13, 14, 15, 20, 21, 22) THEN 1 ELSE 0 END AS DOUBLE) AS x8,
   CAST(day_of_week_i.i + 10 AS BIGINT) AS first_slot,
   CAST(9 + (SELECT count(*) FROM indexed) AS INTEGER) AS width
-FROM finance {_JOINS}"""),
-)
-def assemble_features(spark, sf_dir):
-    """Numbers first, then one slot per label of each category in turn."""
-    rows = training_rows(spark, sf_dir).select(
+FROM finance {_JOINS}""")
+
+
+def _vector_rows(spark, sf_dir) -> DataFrame:
+    return training_rows(spark, sf_dir).select(
         *LINE, *TRAINING_NUMERIC_FEATURES, *CATEGORY_FEATURES
     )
-    stages = training.feature_stages(TRAINING_NUMERIC_FEATURES, CATEGORY_FEATURES)
-    assembled = Pipeline(stages=stages).fit(rows).transform(rows)
+
+
+def _vector_slots(assembled: DataFrame) -> DataFrame:
+    """The numbers of a vector and where its first category has its slot."""
     slots = vector_to_array("features")
     n = len(TRAINING_NUMERIC_FEATURES)
     return assembled.select(
@@ -152,6 +157,25 @@ def assemble_features(spark, sf_dir):
     )
 
 
+@query("assemble_features", _ASSEMBLED_SQL)
+def assemble_features(spark, sf_dir):
+    """Numbers first, then one slot per label of each category in turn."""
+    rows = _vector_rows(spark, sf_dir)
+    stages = training.feature_stages(TRAINING_NUMERIC_FEATURES, CATEGORY_FEATURES)
+    return _vector_slots(Pipeline(stages=stages).fit(rows).transform(rows))
+
+
+@query("stage_save", _ASSEMBLED_SQL)
+def stage_save(spark, sf_dir):
+    """The fitted stages saved one by one, loaded again and put in a row: the same vectors."""
+    rows = _vector_rows(spark, sf_dir)
+    stages = training.feature_stages(TRAINING_NUMERIC_FEATURES, CATEGORY_FEATURES)
+    paths = training.save_stages(Pipeline(stages=stages).fit(rows), work_path(spark, "stages"))
+    kinds = (StringIndexerModel, OneHotEncoderModel, VectorAssembler)
+    loaded = [kind.load(path) for kind, path in zip(kinds, paths)]
+    return _vector_slots(PipelineModel(stages=loaded).transform(rows))
+
+
 # -- training and scoring ---------------------------------------------------
 
 _BUCKET = "CAST('0x' || substr(md5(concat_ws('|', order_id, line_no, l_partkey)), 1, 8) AS BIGINT) % 100"

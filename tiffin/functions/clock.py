@@ -71,7 +71,8 @@ def parse_iso_timestamp(text: Column) -> Column:
 
 def parse_mixed_timestamp(text: Column) -> Column:
     """ISO time, plain date and time, or milliseconds since 1970."""
-    digits = text.rlike(r"^-?\d{5,}$")
+    # Four digits alone are a year, any other whole number is a count of milliseconds.
+    digits = text.rlike(r"^(-\d+|\d{1,3}|\d{5,})$")
     return F.when(digits, F.timestamp_millis(text.try_cast("bigint"))).otherwise(
         parse_iso_timestamp(text)
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from tiffin.operators.columns import canonical_columns
 from tiffin.plans import training
 from tiffin.plans.features import build_training_rows
-from tiffin.schemas import DEFAULT_TIMESTAMP_FORMAT
+from tiffin.schemas import DEFAULT_TIMESTAMP_FORMAT, NUMERIC_FEATURES
 from tiffin.session import build_session
 from tiffin.sources.tables import read_orders_csv
 
@@ -29,10 +29,22 @@ def run(
     keys: list[str] | None = None,
     max_depth: int = training.MAX_DEPTH,
     max_iter: int = training.MAX_ITER,
+    refund_amount: bool = False,
+    max_labels: int = training.MAX_LABELS,
 ) -> training.TrainingResult:
-    """Train on the rows of `raw`, whatever their column spellings, and save under `out`."""
+    """Train on the rows of `raw`, whatever their column spellings, and save under `out`.
+
+    With `refund_amount` the refunded amount is a feature beside the flag made from it.
+    """
     rows = build_training_rows(canonical_columns(raw, keep=keys), fmt)
-    result = training.train(rows, keys or SPLIT_KEYS, max_depth=max_depth, max_iter=max_iter)
+    result = training.train(
+        rows,
+        keys or SPLIT_KEYS,
+        numeric=NUMERIC_FEATURES if refund_amount else None,
+        max_depth=max_depth,
+        max_iter=max_iter,
+        max_labels=max_labels,
+    )
     training.save_model(result.model, out)
     return result
 
@@ -47,6 +59,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--key", action="append", help="column that decides the split; repeatable")
     parser.add_argument("--depth", type=int, default=training.MAX_DEPTH)
     parser.add_argument("--iterations", type=int, default=training.MAX_ITER)
+    parser.add_argument("--refund-amount", action="store_true", help="use the amount as a feature")
+    parser.add_argument("--max-labels", type=int, default=training.MAX_LABELS)
     parser.add_argument("--master")
     args = parser.parse_args(argv)
     spark = build_session("tiffin-train", args.master)
@@ -54,7 +68,10 @@ def main(argv: list[str] | None = None) -> None:
         raw = read_orders_csv(spark, args.data, args.schema)
     else:
         raw = spark.read.format(args.format).load(args.data)
-    result = run(raw, args.out, args.datefmt, args.key, args.depth, args.iterations)
+    result = run(
+        raw, args.out, args.datefmt, args.key, args.depth, args.iterations, args.refund_amount,
+        args.max_labels,
+    )
     print(
         f"rmse {result.rmse:.2f} on {result.n_test} rows (mean of {result.n_train} training rows"
         f" as prediction: {result.baseline_rmse:.2f}); saved to {args.out}"

@@ -91,13 +91,13 @@ class TrainingResult:
     baseline_rmse: float
 
 
-def check_labels(df: DataFrame, categories: list[str]) -> int:
+def check_labels(df: DataFrame, categories: list[str], max_labels: int = MAX_LABELS) -> int:
     """Row count of the training rows; fails if a category column has too many labels."""
     labels = {c: F.hll_sketch_estimate(F.hll_sketch_agg(c)) for c in categories}
     row = df.agg(
         F.count(F.lit(1)).alias("n"), *[estimate.alias(c) for c, estimate in labels.items()]
     ).first()
-    wide = {c: row[c] for c in categories if row[c] > MAX_LABELS}
+    wide = {c: row[c] for c in categories if row[c] > max_labels}
     if wide:
         raise ValueError(f"too many labels to encode as categories: {wide}")
     if row["n"] == 0:
@@ -132,6 +132,7 @@ def train(
     label: str = LABEL,
     max_depth: int = MAX_DEPTH,
     max_iter: int = MAX_ITER,
+    max_labels: int = MAX_LABELS,
 ) -> TrainingResult:
     """Fit on four fifths of the rows, measure on the rest.
 
@@ -147,7 +148,8 @@ def train(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
-        n_train = check_labels(train_test_split(drop_null_label(stored, label), keys)[0], categories)
+        labelled, _ = train_test_split(drop_null_label(stored, label), keys)
+        n_train = check_labels(labelled, categories, max_labels)
         spread = _spread_if_few_partitions(stored)
         try:
             learn, held_out = train_test_split(drop_null_label(spread, label), keys)

@@ -49,3 +49,8 @@ def schema_shape(df: DataFrame) -> DataFrame:
 def sample_rows(df: DataFrame, columns: list[str], order: list, n: int) -> DataFrame:
     """The first `n` rows in a stated order, as a top-k and not a full sort."""
     return df.orderBy(*order).limit(n).select(*columns)
+
+
+def sample_json(df: DataFrame, columns: list[str], order: list, n: int = 3) -> DataFrame:
+    """The same small sample as one JSON text per row, for logs."""
+    return sample_rows(df, columns, order, n).select(F.to_json(F.struct(*columns)).alias("value"))
