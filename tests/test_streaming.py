@@ -277,8 +277,9 @@ def test_scoring_job_end_to_end(spark, model, folder):
             "--source", "json", "--input", f"{folder}/topic", "--model", f"{folder}/none",
             "--fallback-model", f"{folder}/model", "--out", f"{folder}/out",
             "--checkpoint", f"{folder}/checkpoint", "--available-now", "--state-partitions", "2",
-            "--option", "maxFilesPerTrigger=10", "--dedup-spread", "2",
+            "--option", "maxFilesPerTrigger=10", "--dedup-spread", "2", "--files-per-batch", "1",
         ]
     )
     assert spark.read.json(f"{folder}/out/documents").count() == 2
     assert spark.read.json(f"{folder}/out/rejects").count() == 4
+    assert spark.read.json(f"{folder}/out/messages").select(F.input_file_name()).distinct().count() == 1

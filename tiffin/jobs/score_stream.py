@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--late-limit", default=LATE_LIMIT)
     parser.add_argument("--dedup-spread", type=int, default=1)
     parser.add_argument("--state-partitions", type=int)
+    parser.add_argument("--files-per-batch", type=int, help="joins partitions for the sinks")
     parser.add_argument("--available-now", action="store_true", help="stop at the end of input")
     parser.add_argument("--master")
     args = parser.parse_args(argv)
@@ -77,6 +78,7 @@ def main(argv: list[str] | None = None) -> None:
         late_limit=args.late_limit,
         spread=args.dedup_spread,
         shape=SHAPES[args.shape],
+        files=args.files_per_batch,
     )
     stream.awaitTermination()
 
