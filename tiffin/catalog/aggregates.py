@@ -204,6 +204,22 @@ _LATE = """
 )"""
 
 
+def _two_key_sql() -> str:
+    body = _box_body("struct_pack(method := payment_method, refunded := refunds > 0) AS k", "late")
+    head, select = body.split("\nSELECT k, n_rows", 1)
+    return sql("finance", _LATE + head.strip() + f"""
+SELECT k.method AS payment_method, k.refunded AS refunded, * EXCLUDE (k) FROM (SELECT k, n_rows{select})""")
+
+
+@query("box_stats", _two_key_sql())
+def box_stats(spark, sf_dir):
+    """The general form: any number of grouping columns."""
+    orders = _skewed_minutes(fixtures.delivery_orders(spark, sf_dir))
+    minutes = clock.duration_minutes_exact(F.col("order_ts"), F.col("delivery_ts"))
+    by = {"payment_method": F.col("payment_method"), "refunded": F.col("refunds") > 0}
+    return rounded(boxes.box_stats(orders, by, minutes), _BOX_COLUMNS)
+
+
 @query("box_by_weekday", _box_sql("day_of_week", "dayname(order_ts)"))
 def box_by_weekday(spark, sf_dir):
     orders = fixtures.delivery_orders(spark, sf_dir)

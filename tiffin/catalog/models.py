@@ -264,6 +264,23 @@ def model_save_load(spark, sf_dir):
     )
 
 
+@query(
+    "model_path_fallback",
+    sql("orders", f"SELECT {LINE_SQL}, true AS scored FROM delivery_orders"),
+)
+def model_path_fallback(spark, sf_dir):
+    """Scores with the model of the fallback folder, as the first folder has none."""
+    fallback = work_path(spark, "best-model")
+    training.save_model(trained(spark, sf_dir).model, fallback)
+    found = training.model_path(
+        spark, fallback, work_path(spark, "no-model"), variable="TIFFIN_NO_SUCH_VARIABLE"
+    )
+    scored = training.score(
+        training.load_model(found), training_rows(spark, sf_dir, heavy=True), LINE
+    )
+    return scored.select(*LINE, F.col("prediction").isNotNull().alias("scored"))
+
+
 @query("tune_grid")
 def tune_grid(spark, sf_dir):
     """Validation error per grid point; few trees, so that the search stays short."""

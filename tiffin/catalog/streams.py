@@ -11,7 +11,7 @@ from tiffin.catalog.views import sql
 from tiffin.operators import columns, documents
 from tiffin.session import stream_session, work_path
 from tiffin.sources import fixtures
-from tiffin.sources.messages import decode_requests, request_source
+from tiffin.sources.messages import decode_requests, decode_with_source, request_source
 from tiffin.streaming import dedup, scoring, sinks, waiting
 
 
@@ -81,6 +81,40 @@ def append_checkpointed(spark, sf_dir):
     return spark.read.schema(arrived.schema).parquet(out)
 
 
+@query(
+    "start_position",
+    sql("requests", """
+SELECT 'replay' AS start, "UUID" FROM requests
+UNION ALL SELECT 'resumed', "UUID" FROM requests WHERE event_id % 2 = 1"""),
+)
+def start_position(spark, sf_dir):
+    """What a new stream reads and what a resumed one reads, once the second half has come."""
+    folder, checkpoint = work_path(spark, "positions"), work_path(spark, "resumed-checkpoint")
+    session = stream_session(spark)
+    half = F.pmod(fixtures.event_number(F.col("UUID")), F.lit(2))
+    arrived = fixtures.requests(spark, sf_dir).select("UUID")
+
+    def stream() -> DataFrame:
+        return session.readStream.schema(arrived.schema).parquet(folder)
+
+    arrived.where(half == 0).write.mode("append").parquet(folder)
+    _run(stream(), work_path(spark, "first-half"), checkpoint)
+    arrived.where(half == 1).write.mode("append").parquet(folder)
+    resumed = work_path(spark, "resumed")
+    later = (
+        stream().writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(_parquet_sink(resumed))
+        .trigger(availableNow=True)
+        .start()
+    )
+    later.awaitTermination()
+    replay = _collected(spark, stream(), "replay")
+    read_back = spark.read.schema("UUID string").parquet(resumed).select("UUID")
+    return replay.select(F.lit("replay").alias("start"), "UUID").unionByName(
+        read_back.select(F.lit("resumed").alias("start"), "UUID")
+    )
+
+
 # -- event time and repeats -------------------------------------------------
 
 
@@ -234,6 +268,25 @@ def foreach_batch_score(spark, sf_dir):
     )
 
 
+@query(
+    "empty_batch_skip",
+    sql("requests", 'SELECT "UUID", 1 AS batch_id FROM requests'),
+)
+def empty_batch_skip(spark, sf_dir):
+    """An empty batch and a full one through the scorer: only the full one is written."""
+    out = work_path(spark, "batches")
+    process = scoring.batch_scorer(
+        trained(spark, sf_dir).model,
+        [sinks.Sink("responses", _parquet_sink(out))],
+        errors=work_path(spark, "errors"),
+    )
+    messages = documents.request_kv_encode(fixtures.requests(spark, sf_dir))
+    batch = decode_with_source(messages).withColumn("rejected", F.col("UUID").isNull())
+    process(batch.where(F.col("UUID") == ""), 0)
+    process(batch, 1)
+    return spark.read.parquet(out).select("UUID", "batch_id")
+
+
 @query("stream_score_plain")
 def stream_score_plain(spark, sf_dir):
     """Scores the stream itself, without a function per batch or any de-duplication."""
