@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import pieces, token_counts
+from tiffin.llm import exact, mixing, pieces, token_counts, urls
 from tiffin.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,144 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP2_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 15))::BIGINT
+      AS hash
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+      WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+  FROM sized GROUP BY source
+), filled AS (
+  SELECT *, source_size * 2.0::DOUBLE AS cap,
+    coalesce(sum(source_size * 2.0::DOUBLE) OVER below, 0) AS clamped,
+    sum(weight) OVER () - coalesce(sum(weight) OVER below, 0) AS open_weight,
+    1.5::DOUBLE * sum(source_size) OVER () AS total
+  FROM sources
+  WINDOW below AS (ORDER BY source_size * 2.0::DOUBLE / weight, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levels AS (
+  -- the level at which the source itself is open and all with a lower ratio are clamped
+  SELECT max((total - clamped) / open_weight) FILTER (
+    WHERE (total - clamped) / open_weight * weight <= cap) AS level FROM filled
+), plan AS (
+  SELECT source, source_size,
+    CASE WHEN level IS NULL OR level * weight > cap THEN cap ELSE level * weight END AS target
+  FROM filled, levels
+), repeats AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole
+  FROM plan
+), running AS (
+  SELECT d.doc_id, d.size, p.source_size, p.target, p.whole,
+    2 * coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.hash, d.doc_id, d.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + d.size AS middle
+  FROM sized d JOIN repeats p ON d.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+  (size * (whole + CASE WHEN middle < 2 * (target - whole * source_size) THEN 1 ELSE 0 END))::BIGINT
+    AS taken
+FROM running
+"""
+
+
+@query("op2_mix_sources", OP2_SQL)
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, plan = mixing.mixing_plan(documents(spark, sf_dir))
+    return mixing.copies(rows, plan).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+    )
+
+
+OP5_SQL = """
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY t)
+"""
+
+
+@query("op5_exact_dedup", OP5_SQL)
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
+        F.col("sha256").alias("text_sha256"),
+    )
+
+
+#: (verdict, host, start of the path)
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+OP6_SQL = r"""
+WITH RECURSIVE rules(verdict, rule_host, rule_path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+    ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), split AS (
+  SELECT page_id, html,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), paths AS (SELECT host, path, count(*) AS n FROM split GROUP BY host, path
+), ruled AS (
+  SELECT host, path, any_value(n) AS n,
+    arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(r.verdict, length(rule_host || rule_path)) AS verdict
+  FROM paths LEFT JOIN rules r
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY host, path
+), seeds AS (
+  SELECT host, sum(CASE WHEN verdict = 'allow' THEN n ELSE 0 END) / sum(n) AS trust,
+    sum(CASE WHEN verdict = 'block' THEN n ELSE 0 END) / sum(n) AS distrust
+  FROM ruled WHERE host <> '' GROUP BY host
+), found AS (
+  SELECT host AS src, unnest(regexp_extract_all(html,
+    '(?i)href\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s<>]+)', 1)) AS target
+  FROM split
+), links AS (
+  SELECT src, dst, count(*) AS n FROM (
+    SELECT src, regexp_replace(translate(target, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '^[^@]*@|:[0-9]*$', '', 'g') AS dst FROM found)
+  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
+), flows AS (
+  SELECT src, dst, 1 AS along, 0.85 * n / sum(n) OVER (PARTITION BY src) AS share FROM links
+  UNION ALL
+  SELECT dst, src, 0, 0.85 * n / sum(n) OVER (PARTITION BY dst) FROM links
+), reached AS (
+  SELECT host, trust, distrust, 0 AS step FROM seeds
+  UNION ALL
+  SELECT dst, sum(along * trust * share), sum((1 - along) * distrust * share), step + 1
+  FROM reached JOIN flows ON host = src WHERE step < 50 GROUP BY dst, step
+), scores AS (
+  SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM reached GROUP BY host
+)
+SELECT page_id, s.host, s.path, r.rule,
+  CASE WHEN r.verdict IS NOT NULL THEN r.verdict
+    WHEN c.distrust >= 0.5 AND c.distrust > c.trust THEN 'block' ELSE 'allow' END AS verdict
+FROM split s JOIN ruled r ON s.host = r.host AND s.path = r.path
+LEFT JOIN scores c ON c.host = s.host
+"""
+
+
+@query("op6_url_filter", OP6_SQL)
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return urls.judge(pages, URL_RULES).withColumnRenamed("id", "page_id")
+
+
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = token_counts.count_tokens(
