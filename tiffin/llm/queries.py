@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import exact, mixing, pieces, token_counts, urls
+from tiffin.llm import exact, mixing, pieces, simhash, token_counts, urls
 from tiffin.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,6 +185,15 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES).withColumnRenamed("id", "page_id")
 
 
+@query("op7_simhash_dedup")
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = token_counts.count_tokens(
