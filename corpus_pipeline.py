@@ -1,12 +1,80 @@
-"""The training-data pipeline: one stage after the other, each written and read again."""
+"""The training-data pipeline: one stage after the other, each written and read again.
+
+Every stage reads all its predecessor kept and returns the columns of `documents`; the last one
+adds the ids of SentencePiece. SQL cannot express the first and the last stage, so there is no
+SQL for the whole.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tiffin.llm import exact, languages, mixing, pieces, simhash
 from tiffin.llm.common import documents, stored
 
-STAGES = []
+SHINGLE, DISTANCE = 5, 4
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a number per row, fixed by writing them: ids may be null or repeat."""
+    return stored(docs.withColumn("row_number", F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a language: no text, or no letters in it."""
+    rows = _numbered(docs)
+    model = languages.train(rows, ~languages.held_out(F.col("doc_id")))
+    found = languages.identify(rows, model, id_col="row_number").where(
+        F.col("lang_pred") != languages.UNKNOWN
+    )
+    # Without any labelled row nothing can be told, and nothing is rejected.
+    if model is None:
+        return docs
+    return rows.join(found, F.col("row_number") == F.col("id"), "left_semi").select(*docs.columns)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal texts, A-Z and a-z being the same, the one with the largest id stays."""
+    rows = _numbered(docs)
+    named = rows.select(F.struct("doc_id", "row_number").alias("name"), "text")
+    kept = exact.exact_duplicates(named, id_col="name").where("kept")
+    return rows.join(kept, F.col("row_number") == F.col("id.row_number"), "left_semi").select(
+        *docs.columns
+    )
+
+
+def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays, null being largest."""
+    rows = _numbered(docs)
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_number")
+    named = rows.select(name.alias("name"), "text")
+    groups = simhash.near_duplicates(named, SHINGLE, DISTANCE, id_col="name")
+    kept = groups.where(F.col("id.row_number") == F.col("component_id.row_number"))
+    return rows.join(kept, F.col("row_number") == F.col("id.row_number"), "left_semi").select(
+        *docs.columns
+    )
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of its source takes it."""
+    return mixing.mix(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids) of every copy in the mix."""
+    rows = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select(F.col("id").alias("doc_id"), "ids")
+
+
+STAGES = [
+    ("language_id", identified),
+    ("exact_dedup", distinct),
+    ("simhash_dedup", apart),
+    ("mix_sources", mixed),
+    ("sentencepiece", encoded),
+]
 ORACLE_SQL = None
 
 

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import exact, mixing, pieces, simhash, token_counts, urls
+from tiffin.llm import anchors, exact, languages, mixing, pieces, simhash, token_counts, urls
 from tiffin.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,39 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP4_SQL = r"""
+WITH found AS (
+  SELECT doc_id, len(ws) AS n_words, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents)
+), windows AS (
+  SELECT *, CASE WHEN i + 49 <= n_words THEN sha256(string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) END AS w
+  FROM found
+), judged AS (
+  SELECT *, w IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY w) AS starts FROM windows
+), marked AS (
+  SELECT *, coalesce(bool_or(starts) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM judged
+), cut AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words,
+  coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN cut c ON c.doc_id = d.doc_id
+"""
+
+
+@query("op4_substring_dedup", OP4_SQL)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.remove_repeats(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", sha256(F.col("kept")).alias("kept_sha256")
+    )
+
+
 OP5_SQL = """
 WITH texts AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -200,3 +233,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")
     )
     return rows.withColumnRenamed("id", "doc_id")
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = languages.train(docs, ~languages.held_out(F.col("doc_id")))
+    return languages.identify(docs, model).select(
+        F.col("id").alias("doc_id"),
+        languages.held_out(F.col("id")).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
