@@ -129,15 +129,15 @@ def compare_anchors(rows: list[dict], out: Rows) -> None:
             out.add(REPLY, row["token"], chunked.home(row["token"]), a=numbers)
 
 
-def _numbers(replies: list[dict]) -> np.ndarray:
+def numbers_of(replies: list[dict], column: str = "a") -> np.ndarray:
     """A flag for each key number of the chunk: whether a reply has it."""
-    found = np.concatenate([np.frombuffer(r["a"], "<u4") for r in replies] or [np.zeros(0, "<u4")])
+    found = np.concatenate([np.frombuffer(r[column], "<u4") for r in replies] or [np.zeros(0, "<u4")])
     flags = np.zeros(int(found.max()) + 1 if len(found) else 0, bool)
     flags[found] = True
     return flags
 
 
-def _flag(flags: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+def flag(flags: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     out = np.zeros(len(numbers), bool)
     inside = numbers < len(flags)
     out[inside] = flags[numbers[inside]]
@@ -149,7 +149,7 @@ def _candidates(window: int, cover, period: int):
 
     def resolve_doc(row: dict, flags: np.ndarray) -> bytes | None:
         spans = np.frombuffer(row["a"], "<u4").reshape(-1, 2).astype(np.int64)
-        shared = np.flatnonzero(_flag(flags, ragged(spans[:, 0], spans[:, 1])))
+        shared = np.flatnonzero(flag(flags, ragged(spans[:, 0], spans[:, 1])))
         if not len(shared):
             return None
         steps = np.array(sorted(cover))
@@ -248,13 +248,13 @@ def compare_windows(rows: list[dict], out: Rows) -> None:
             out.add(REPLY, row["token"], chunked.home(row["token"]), a=numbers)
 
 
-def _covered(window: int):
+def covered_windows(window: int):
     """The removed words of a document as disjoint intervals."""
 
     def resolve_doc(row: dict, flags: np.ndarray) -> bytes | None:
         spans = np.frombuffer(row["a"], "<u4").reshape(-1, 3).astype(np.int64)
         starts = ragged(spans[:, 0], spans[:, 2])
-        starts = starts[_flag(flags, ragged(spans[:, 1], spans[:, 2]))]
+        starts = starts[flag(flags, ragged(spans[:, 1], spans[:, 2]))]
         own = np.frombuffer(row["b"], "<u4").reshape(-1, 2).astype(np.int64)
         begin = np.concatenate((starts, own[:, 0]))
         end = np.concatenate((starts + window, own[:, 0] + own[:, 1] - 1 + window))
@@ -306,10 +306,10 @@ def remove_repeats(
     texts = chunked.keyed(docs, id_col, text_col)
     shared = chunked.compare(send_anchors(texts, window, cover, period), compare_anchors)
     candidates = stored(
-        chunked.resolve(shared, _candidates(window, cover, period), _numbers), "anchors"
+        chunked.resolve(shared, _candidates(window, cover, period), numbers_of), "anchors"
     )
     # Both joins below need the texts by id: the plan deals them out once and reads them twice.
     near = chunked.same_document(texts, candidates, "inner")
     compared = chunked.compare(send_windows(near, window), compare_windows)
-    removed = chunked.resolve(compared, _covered(window), _numbers)
+    removed = chunked.resolve(compared, covered_windows(window), numbers_of)
     return cut_words(chunked.same_document(texts, removed, "left"))

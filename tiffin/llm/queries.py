@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import anchors, exact, languages, mixing, pieces, simhash, token_counts, urls
+from tiffin.llm import anchors, exact, inner_search, languages, mixing, pieces, simhash
+from tiffin.llm import suffixes, token_counts, urls
 from tiffin.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +101,32 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP3_SQL = """
+WITH usable AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), parts AS (
+  SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM usable
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0 GROUP BY ALL
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scores)
+WHERE rank <= 10
+"""
+
+
+@query("op3_top_k", OP3_SQL)
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return inner_search.top_k(vectors, F.col("id") % 100 == 0).withColumnRenamed("id", "vec_id")
+
+
 OP4_SQL = r"""
 WITH found AS (
   SELECT doc_id, len(ws) AS n_words, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
@@ -245,3 +272,44 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang_pred",
         "score",
     )
+
+
+OP10_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents
+), places AS (
+  SELECT doc_id, t, unnest(range(len(t) // 2)) AS i FROM texts
+), judged AS (
+  SELECT doc_id, i, substr(t, 2 * i + 1, 2) AS byte,
+    2 * i + 100 <= len(t)
+      AND doc_id > min(doc_id) OVER (PARTITION BY substr(t, 2 * i + 1, 100)) AS starts
+  FROM places
+), marked AS (
+  SELECT doc_id, i, byte, bool_or(starts) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM judged
+), edges AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens
+  FROM marked
+), cut AS (
+  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed,
+    count(*) FILTER (WHERE opens) AS n_spans,
+    string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM edges GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_bytes, 0)::BIGINT AS n_bytes,
+  coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM documents d LEFT JOIN cut c ON c.doc_id = d.doc_id
+"""
+
+
+@query("op10_suffix_dedup", OP10_SQL)
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.first)").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
