@@ -274,37 +274,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-OP10_SQL = r"""
-WITH texts AS (
-  SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents
-), places AS (
-  SELECT doc_id, t, unnest(range(len(t) // 2)) AS i FROM texts
-), judged AS (
-  SELECT doc_id, i, substr(t, 2 * i + 1, 2) AS byte,
-    2 * i + 100 <= len(t)
-      AND doc_id > min(doc_id) OVER (PARTITION BY substr(t, 2 * i + 1, 100)) AS starts
-  FROM places
-), marked AS (
-  SELECT doc_id, i, byte, bool_or(starts) OVER (
-    PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
-  FROM judged
-), edges AS (
-  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens
-  FROM marked
-), cut AS (
-  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed,
-    count(*) FILTER (WHERE opens) AS n_spans,
-    string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
-  FROM edges GROUP BY doc_id
-)
-SELECT d.doc_id, coalesce(n_bytes, 0)::BIGINT AS n_bytes,
-  coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
-  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM documents d LEFT JOIN cut c ON c.doc_id = d.doc_id
-"""
-
-
-@query("op10_suffix_dedup", OP10_SQL)
+@query("op10_suffix_dedup")
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"),
