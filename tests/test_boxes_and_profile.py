@@ -143,3 +143,24 @@ def test_category_counts(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x")], "p string, q string")
     got = {tuple(r) for r in profile.category_frequencies(df, ["p", "q"]).collect()}
     assert got == {("p", "a", 2), ("p", "b", 1), ("q", "x", 2)}
+
+
+@pytest.mark.parametrize("start, size", [("NULL", 1e9), ("0", 1e6)])
+def test_correlation_of_large_values_with_an_untypical_start(spark, start, size):
+    from tiffin.operators.profile import correlation_matrix
+
+    rows = spark.range(20_000, numPartitions=1).selectExpr(
+        f"if(id < 1000, {start}, {size} + id % 7) as a",
+        f"if(id < 1000, NULL, {size} + id % 7 + 0.1 * (id % 5)) as b",
+    )
+    got = {(r["column_a"], r["column_b"]): r["correlation"] for r in correlation_matrix(rows).collect()}
+    want = rows.where("a IS NOT NULL AND b IS NOT NULL").selectExpr(
+        f"corr(a - {size}, b - {size})").first()[0]
+    assert got["a", "b"] == pytest.approx(want, abs=1e-9)
+
+
+def test_a_missing_refund_is_no_refund(spark):
+    from tiffin.functions.ledger import is_refunded
+
+    rows = spark.createDataFrame([(1.0,), (0.0,), (None,)], "refunds double")
+    assert [r[0] for r in rows.select(is_refunded(F.col("refunds"))).collect()] == [True, False, False]

@@ -205,7 +205,7 @@ _LATE = """
 
 
 def _two_key_sql() -> str:
-    body = _box_body("struct_pack(method := payment_method, refunded := refunds > 0) AS k", "late")
+    body = _box_body("struct_pack(method := payment_method, refunded := coalesce(refunds > 0, false)) AS k", "late")
     head, select = body.split("\nSELECT k, n_rows", 1)
     return sql("finance", _LATE + head.strip() + f"""
 SELECT k.method AS payment_method, k.refunded AS refunded, * EXCLUDE (k) FROM (SELECT k, n_rows{select})""")
@@ -216,7 +216,7 @@ def box_stats(spark, sf_dir):
     """The general form: any number of grouping columns."""
     orders = _skewed_minutes(fixtures.delivery_orders(spark, sf_dir))
     minutes = clock.duration_minutes_exact(F.col("order_ts"), F.col("delivery_ts"))
-    by = {"payment_method": F.col("payment_method"), "refunded": F.col("refunds") > 0}
+    by = {"payment_method": F.col("payment_method"), "refunded": ledger.is_refunded(F.col("refunds"))}
     return rounded(boxes.box_stats(orders, by, minutes), _BOX_COLUMNS)
 
 
@@ -256,9 +256,9 @@ def box_by_payment(spark, sf_dir):
     return _boxes(orders, "payment_method", F.col("payment_method"))
 
 
-@query("box_by_refunded", _box_sql("refunded", "refunds > 0"))
+@query("box_by_refunded", _box_sql("refunded", "coalesce(refunds > 0, false)"))
 def box_by_refunded(spark, sf_dir):
-    return _boxes(fixtures.delivery_orders(spark, sf_dir), "refunded", F.col("refunds") > 0)
+    return _boxes(fixtures.delivery_orders(spark, sf_dir), "refunded", ledger.is_refunded(F.col("refunds")))
 
 
 @query("box_by_hour", _box_sql("hour_of_day", "CAST(hour(order_ts) AS INTEGER)"))
@@ -285,7 +285,7 @@ _REPORT_KEYS = {
     "day_of_week": "dayname(order_ts)",
     "has_discount": "coalesce(lower(discounts_and_offers) <> 'none', true)",
     "payment_method": "payment_method",
-    "refunded": "refunds > 0",
+    "refunded": "coalesce(refunds > 0, false)",
     "hour_of_day": "hour(order_ts)",
 }
 

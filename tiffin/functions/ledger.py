@@ -34,6 +34,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def is_refunded(refund: Column) -> Column:
+    """Whether money went back; a missing amount is no refund."""
+    return F.coalesce(refund > 0, F.lit(False))
+
+
 def refunded_flag(refund: Column) -> Column:
     return F.when(refund > 0, 1).otherwise(0)
 

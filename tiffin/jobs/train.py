@@ -30,7 +30,7 @@ def run(
     max_depth: int = training.MAX_DEPTH,
     max_iter: int = training.MAX_ITER,
     refund_amount: bool = False,
-    max_labels: int = training.MAX_LABELS,
+    max_labels: int | None = None,
 ) -> training.TrainingResult:
     """Train on the rows of `raw`, whatever their column spellings, and save under `out`.
 
@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--depth", type=int, default=training.MAX_DEPTH)
     parser.add_argument("--iterations", type=int, default=training.MAX_ITER)
     parser.add_argument("--refund-amount", action="store_true", help="use the amount as a feature")
-    parser.add_argument("--max-labels", type=int, default=training.MAX_LABELS)
+    parser.add_argument("--max-labels", type=int, default=None)
     parser.add_argument("--master")
     args = parser.parse_args(argv)
     spark = build_session("tiffin-train", args.master)

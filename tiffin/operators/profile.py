@@ -51,49 +51,56 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
 
     Rows are grouped by which columns they have, so inside a group no sum needs a null test
     per pair, and plain sums of products are enough for every pair at once. They stay within
-    generated code, unlike one `corr` per pair, whose buffers outgrow it. Values are shifted
-    by a typical value first, which keeps the sums well conditioned and cancels out of the
-    result. The result has one row per ordered pair, NULL where a column does not vary.
+    generated code, unlike one `corr` per pair, whose buffers outgrow it. Values are taken from
+    the mean of their own group, found by a pass over all rows, and the groups are put together
+    by their means, so large values with a small spread lose no digits. The result has one row
+    per ordered pair, NULL where a column does not vary.
     """
     columns = columns or numeric_columns(df)
     at = range(len(columns))
     pairs = [(i, j) for i in at for j in at if i <= j]
+    # One bit per column that is present, in as many long numbers as that takes.
+    bits = [f"if(x{i} is null, 0L, {1 << (i % 62)}L)" for i in at]
+    has = [f"has{k}" for k in at[::62]]
     values = df.selectExpr(
         *[f"nullif(cast({quoted(c)} as double), double('NaN')) as x{i}" for i, c in enumerate(columns)]
+    ).selectExpr("*", *[f"{' + '.join(bits[k : k + 62])} as has{k}" for k in at[::62]])
+    centres = values.groupBy(*has).agg(
+        *[F.expr(f"{f}(x{i}) as {f}{i}") for f in ("avg", "min", "max") for i in at]
     )
-    centres = ", ".join(f"'x{i}', coalesce(avg(x{i}), 0D)" for i in at)
-    typical = values.limit(1000).agg(F.expr(f"named_struct({centres})")).scalar()
-    shifted = values.withColumn("centre", typical).selectExpr(
-        *[f"x{i} - centre.x{i} as x{i}" for i in at]
-    )
-    # One bit per column that is present, in as many long numbers as that takes.
-    bits = [f"if(x{i} is null, 0L, {1 << (i % 62)}L)" for i in at]
-    present = [F.expr(" + ".join(bits[k : k + 62])).alias(f"has{k}") for k in at[::62]]
-    moments = shifted.groupBy(*present).agg(
+    shifted = values.join(centres, has).selectExpr(*has, *[f"x{i} - avg{i} as x{i}" for i in at])
+    moments = shifted.groupBy(*has).agg(
         F.expr("count(1) as n"),
         *[F.expr(f"sum(x{i}) as s{i}") for i in at],
         *[F.expr(f"sum(x{i} * x{j}) as p{i}_{j}") for i, j in pairs],
-        *[F.expr(f"{f}(x{i}) as {f}{i}") for f in ("min", "max") for i in at],
-    )
+    ).join(centres, has)
     one_pair = (
         "named_struct('i', {i}, 'j', {j}, 'sx', s{i}, 'sy', s{j}, 'sxx', p{i}_{i}, 'syy', p{j}_{j},"
-        " 'sxy', p{i}_{j}, 'lox', min{i}, 'hix', max{i}, 'loy', min{j}, 'hiy', max{j})"
+        " 'sxy', p{i}_{j}, 'mx', avg{i} + s{i} / n, 'my', avg{j} + s{j} / n,"
+        " 'lox', min{i}, 'hix', max{i}, 'loy', min{j}, 'hiy', max{j})"
     )
     listed = ", ".join(one_pair.format(i=i, j=j) for i, j in pairs)
-    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    # One row per pair and group here: as many as there are sets of present columns.
+    whole = "over (partition by i, j)"
     per_pair = (
         moments.selectExpr("n", f"inline(array({listed}))")
         .where("sx is not null and sy is not null")
+        .selectExpr(
+            "*", f"mx - sum(n * mx) {whole} / sum(n) {whole} as dx",
+            f"my - sum(n * my) {whole} / sum(n) {whole} as dy",
+        )
         .groupBy("i", "j")
         .agg(
-            *[F.sum(c).alias(c) for c in sums],
+            F.expr("sum(sxx - sx * sx / n + n * dx * dx) as cxx"),
+            F.expr("sum(syy - sy * sy / n + n * dy * dy) as cyy"),
+            F.expr("sum(sxy - sx * sy / n + n * dx * dy) as cxy"),
             F.expr("min(lox) < max(hix) and min(loy) < max(hiy) as varies"),
         )
     )
     names = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in columns)
     return per_pair.selectExpr(
-        "case when not varies then null when i = j then 1D else (sxy - sx * sy / n)"
-        " / (sqrt(sxx - sx * sx / n) * sqrt(syy - sy * sy / n)) end as correlation",
+        "case when not varies then null when i = j then 1D"
+        " else cxy / (sqrt(cxx) * sqrt(cyy)) end as correlation",
         "explode(if(i = j, array(array(i, j)), array(array(i, j), array(j, i)))) as place",
     ).selectExpr(
         f"get(array({names}), place[0]) as column_a",

@@ -89,7 +89,7 @@ def with_finance(orders: DataFrame) -> DataFrame:
             "day_of_week": clock.weekday_name(F.col("order_ts")),
             "hour_of_day": clock.hour_of_day(F.col("order_ts")),
             "has_discount": offers.has_discount_not_none(offer),
-            "refunded": refund > 0,
+            "refunded": ledger.is_refunded(refund),
             "discount_value": offers.discount_value_token(offer, F.col("order_value")),
         }
     ).withColumns(

@@ -58,7 +58,7 @@ def box_groupings() -> dict:
         "day_of_week": clock.weekday_name(ts),
         "has_discount": offers.has_discount_not_none(F.col("discounts_and_offers")),
         "payment_method": F.col("payment_method"),
-        "refunded": F.col("refunds") > 0,
+        "refunded": ledger.is_refunded(F.col("refunds")),
         "hour_of_day": clock.hour_of_day(ts),
     }
 

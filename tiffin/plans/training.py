@@ -27,10 +27,6 @@ SEED = 42
 GRID_DEPTHS = [5]
 GRID_ITERATIONS = [20, 40]
 
-# A fitted indexer holds all labels on the driver and every label widens the vector by one,
-# so a column with more labels than this is no category and training stops with an error.
-MAX_LABELS = 20_000
-
 
 def split_bucket(*keys: str) -> Column:
     """A number from 0 to 99 that depends only on the key values of a row.
@@ -91,13 +87,13 @@ class TrainingResult:
     baseline_rmse: float
 
 
-def check_labels(df: DataFrame, categories: list[str], max_labels: int = MAX_LABELS) -> int:
-    """Row count of the training rows; fails if a category column has too many labels."""
+def check_labels(df: DataFrame, categories: list[str], max_labels: int | None = None) -> int:
+    """Row count of the training rows; fails above a limit of labels per category, if any."""
     labels = {c: F.hll_sketch_estimate(F.hll_sketch_agg(c)) for c in categories}
     row = df.agg(
         F.count(F.lit(1)).alias("n"), *[estimate.alias(c) for c, estimate in labels.items()]
     ).first()
-    wide = {c: row[c] for c in categories if row[c] > max_labels}
+    wide = {c: row[c] for c in categories if max_labels is not None and row[c] > max_labels}
     if wide:
         raise ValueError(f"too many labels to encode as categories: {wide}")
     if row["n"] == 0:
@@ -132,7 +128,7 @@ def train(
     label: str = LABEL,
     max_depth: int = MAX_DEPTH,
     max_iter: int = MAX_ITER,
-    max_labels: int = MAX_LABELS,
+    max_labels: int | None = None,
 ) -> TrainingResult:
     """Fit on four fifths of the rows, measure on the rest.
 
