@@ -88,7 +88,9 @@ def rotation(rows: DataFrame, width: int) -> np.ndarray:
 
     sums = rows.select("x").mapInArrow(run, "place long, part double")
     gram = np.zeros(width * width)
-    for place, part in sums.groupBy("place").agg(F.sum("part")).collect():
+    totals = sums.groupBy("place").agg(F.sum("part").alias("part"))
+    # As many numbers as the square of the width, however many rows there are.
+    for place, part in totals.agg(F.collect_list(F.struct("place", "part"))).first()[0]:
         gram[place] = part
     _, vectors = np.linalg.eigh(gram.reshape(width, width))
     return vectors[:, ::-1]

@@ -147,8 +147,10 @@ class Model:
 
 def sample(labelled: DataFrame, max_rows: int) -> DataFrame:
     """(text, lang): about equally many rows per language, together near `max_rows` at most."""
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(max_rows).collect()}
+    # One entry per language; no more languages than rows can be learned.
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = counts.orderBy(F.desc("n"), "lang").limit(max_rows)
+    sizes = dict(counts.agg(F.collect_list(F.struct("lang", "n"))).first()[0])
     each = max_rows // max(1, len(sizes))
     spread = 1 << 30
     share = F.lit(0)
