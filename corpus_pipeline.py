@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tiffin.llm import exact, languages, mixing, pieces, simhash
 from tiffin.llm.common import documents, stored
 
-SHINGLE, DISTANCE = 5, 4
+SHINGLE = 5  # words
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -46,11 +46,14 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays, null being largest."""
+    """Of each group of near copies the document with the smallest id stays, null being largest.
+
+    Near copies share five-word shingles to 0.8 or more, as 256 bits of SimHash tell it.
+    """
     rows = _numbered(docs)
     name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_number")
     named = rows.select(name.alias("name"), "text")
-    groups = simhash.near_duplicates(named, SHINGLE, DISTANCE, id_col="name")
+    groups = simhash.near_duplicates(named, SHINGLE, simhash.SIMILAR, id_col="name")
     kept = groups.where(F.col("id.row_number") == F.col("component_id.row_number"))
     return rows.join(kept, F.col("row_number") == F.col("id.row_number"), "left_semi").select(
         *docs.columns

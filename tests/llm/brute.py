@@ -43,7 +43,18 @@ def fingerprint(text: str | None, size: int = 4) -> int:
     )
 
 
-def component_ids(ids: list[int], fps: list[int], distance: int = 4) -> list[int]:
+def shingles(text: str | None, size: int) -> set:
+    words = WORD.findall((text or "").encode().lower())
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def similarity(a: set, b: set) -> float:
+    return len(a & b) / len(a | b)
+
+
+def component_ids(ids: list[int], items: list, linked=None) -> list[int]:
+    """The smallest id that each item reaches; by default over four bits of fingerprints."""
+    linked = linked or (lambda a, b: (a ^ b).bit_count() <= 4)
     root = list(range(len(ids)))
 
     def find(i):
@@ -53,7 +64,7 @@ def component_ids(ids: list[int], fps: list[int], distance: int = 4) -> list[int
 
     for i in range(len(ids)):
         for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= distance:
+            if linked(items[i], items[j]):
                 root[find(i)] = find(j)
     least: dict = {}
     for i, id_ in enumerate(ids):

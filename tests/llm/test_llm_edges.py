@@ -32,6 +32,7 @@ OPERATORS = {
     "words": anchors.remove_repeats,
     "exact": exact.exact_duplicates,
     "simhash": simhash.near_duplicates,
+    "similar": lambda d: simhash.near_duplicates(d, 5, simhash.SIMILAR),
     "language": lambda d: languages.identify(d, languages.train(d, F.lit(True))),
     "bytes": suffixes.remove_repeats,
 }
@@ -143,3 +144,25 @@ def test_urls_without_rows_or_parts(spark):
     got = urls.judge(spark.createDataFrame(rows, schema), (("block", "com", "/"),)).collect()
     assert sorted((r["host"], r["path"], r["rule"] or "") for r in got) == [
         ("", "", ""), ("", "", ""), ("a.com", "", ""), ("b.com", "/x", "com/")]
+
+
+def test_similar_documents_share_four_fifths_of_their_shingles(spark):
+    """Of 100 edits each at similarities around 0.87 and 0.72, the first are found alone."""
+    rows, pairs = [], {}
+    for i in range(200):
+        words = [f"w{i}x{j}" for j in range(300)]
+        edited = list(words)
+        for j in range(4 if i < 100 else 10):
+            edited[20 + 25 * j] = "edited"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(edited))]
+        pairs[2 * i] = brute.similarity(*(brute.shingles(t, 5) for _, t in rows[-2:]))
+    assert min(list(pairs.values())[:100]) > 0.8 > 0.75 > max(list(pairs.values())[100:])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {
+        r["id"]: r["component_id"]
+        for r in simhash.near_duplicates(docs, 5, simhash.SIMILAR).collect()
+    }
+    assert len(got) == 400
+    assert all(got[i] in (i, i - i % 2) for i in got)
+    assert sum(got[i + 1] == i for i in list(pairs)[:100]) >= 97
+    assert not any(got[i + 1] == i for i in list(pairs)[100:])

@@ -101,8 +101,8 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
         last[key] = max(last.get(key, row["doc_id"]), row["doc_id"])
     assert sorted(r["doc_id"] for r in kept["exact_dedup"]) == sorted(last.values())
     ids = [r["doc_id"] for r in kept["exact_dedup"]]
-    fps = [brute.fingerprint(r["text"], 5) for r in kept["exact_dedup"]]
-    first = set(brute.component_ids(ids, fps))
+    sets = [brute.shingles(r["text"], 5) for r in kept["exact_dedup"]]
+    first = set(brute.component_ids(ids, sets, lambda a, b: brute.similarity(a, b) >= 0.8))
     assert {r["doc_id"] for r in kept["simhash_dedup"]} == first
     words = {r["doc_id"]: len(brute.WORD.findall(r["text"].encode()))
              for r in kept["simhash_dedup"]}

@@ -1,13 +1,23 @@
 """SimHash near-duplicates by multi-index hashing.
 
 A fingerprint has one bit per position of the 64-bit shingle hashes: whether over half of them
-set it. Distinct fingerprints are cut into three segments. Two that differ in at most four bits
-differ in at most one bit of some segment, so each is entered in a table under its segments and
-looks there for the small Hamming ball of each of them; matches are verified over all bits.
-
-Copies collapse to one fingerprint first. Of the verified links of a bucket only a forest is
-kept, which links the same documents. Buckets above HOT_ROWS are dealt out in pairs of blocks,
-each a task of bounded size, so every pair is still compared.
+set it. Distinct fingerprints are entered in a table under each of their segments and look
+there for the small Hamming ball of each of them; matches are verified over all bits.
+
+Two layouts of that index. `NEAR`: 64 bits in three segments, links at four bits; two such
+fingerprints differ in at most one bit of some segment, so no link is lost. `SIMILAR`: links
+for a similarity of 0.8 and more. The share of bits in which two fingerprints differ is the
+angle between the shingle sets over pi: 0.15 at a similarity of 0.8, some 10 of 64 bits with
+a wide spread. So the fingerprint has 256 bits, made from four mixes of every distinct
+shingle's hash, ten segments of 16 bits, and matches at 48 bits. By this model it finds pairs of
+similarity 0.8 with 0.92 and of 0.85 with 0.99. An exact check of the shingle sets follows, so
+that matches of a smaller similarity make no link.
+
+Copies collapse to one fingerprint first. Of the verified matches of a bucket only a forest of
+the least distances is kept, which connects the same documents. Buckets above HOT_ROWS are dealt
+out in pairs of blocks, each a task of bounded size, so every pair is still compared. The exact
+check sees the matches of the forests alone: in a group of many near copies it judges each
+document by its closest ones of each bucket.
 
 Defined results: a null text counts as empty; texts without words have fingerprint zero and
 link like any other; a text with fewer words than a shingle is one shingle. Each input row
@@ -18,6 +28,7 @@ ids are null. Other columns of the input are not carried on, so their names cann
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +37,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.llm.common import ragged, slices, stored
+from tiffin.llm.common import mixed, ragged, slices, stored
 from tiffin.llm.components import components
 
 SEED = 42
 BITS = 64
-SEGMENTS = 3
+STRIDE = np.uint64(0x9E3779B97F4A7C15)  # sets the mixes of a hash apart
 HOT_ROWS = 20_000
 MAX_HOT = 65_536  # the most buckets that can be hot, which bounds the broadcast
 PAIRS_AT_ONCE = 1 << 21
 SHINGLES_AT_ONCE = 1 << 16
 
 
+@dataclass(frozen=True)
+class Index:
+    """Fingerprints of `words` times 64 bits, their segments and the distance of a link.
+
+    Segments are given as (word, lowest bit, width). With a `similarity`, a repeated shingle
+    counts once, and a link needs that share of common shingles among all of both documents.
+    """
+
+    words: int
+    segments: tuple[tuple[int, int, int], ...]
+    radius: int
+    distance: int
+    similarity: float | None = None
+
+    @property
+    def columns(self) -> list[str]:
+        return [f"fp{i}" if i else "fp" for i in range(self.words)]
+
+
+NEAR = Index(1, ((0, 0, 21), (0, 21, 21), (0, 42, 22)), 1, 4)
+SIMILAR = Index(4, tuple((i // 4, i % 4 * 16, 16) for i in range(10)), 1, 48, 0.8)
+
+
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
     """XXH64 of each run of `size` words joined by blanks, A-Z lower-cased."""
     words = text.lower().split()
@@ -69,23 +103,37 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big", signed=True)
 
 
+def long_fingerprint(hashes: np.ndarray, index: Index) -> list[int]:
+    """The 64 bits of the hashes, then those of further mixes of them."""
+    if index.similarity is not None:
+        hashes = np.unique(hashes)
+    with np.errstate(over="ignore"):
+        more = [mixed(hashes + STRIDE * np.uint64(i)) for i in range(1, index.words)]
+    return [fingerprint(h) for h in (hashes, *more)]
+
+
 def fingerprints(
-    docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text",
+    index: Index = NEAR,
 ) -> DataFrame:
-    """(id, fp) per row; fp holds the 64 bits as a signed long."""
+    """(id, fp, ...) per row; each column holds 64 bits of the fingerprint as a signed long."""
     schema = T.StructType(
         [
             T.StructField("id", docs.schema[id_col].dataType),
-            T.StructField("fp", T.LongType(), False),
+            *[T.StructField(name, T.LongType(), False) for name in index.columns],
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            fps = [fingerprint(shingle_hashes(t or b"", shingle)) for t in texts]
+            fps = np.array(
+                [long_fingerprint(shingle_hashes(t or b"", shingle), index) for t in texts],
+                np.int64,
+            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(fps, pa.int64())], ["id", "fp"]
+                [batch.column("id"), *[pa.array(column) for column in fps.T.copy()]],
+                ["id", *index.columns],
             )
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
@@ -93,12 +141,6 @@ def fingerprints(
     )
 
 
-def segment_bounds(segments: int) -> list[tuple[int, int]]:
-    """(lowest bit, width) of each segment."""
-    cuts = [BITS * i // segments for i in range(segments + 1)]
-    return [(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:], strict=False)]
-
-
 def ball(width: int, radius: int) -> np.ndarray:
     """All masks of `width` bits with at most `radius` of them set, the empty one first."""
     found = {0}
@@ -107,20 +149,20 @@ def ball(width: int, radius: int) -> np.ndarray:
     return np.array(sorted(found, key=lambda m: (m.bit_count(), m)), np.uint64)
 
 
-def entries(fps: np.ndarray, distance: int, segments: int = SEGMENTS):
-    """Arrays (bucket, fp, probe): the table entries and the look-ups of fingerprints.
+def entries(fps: np.ndarray, index: Index = NEAR):
+    """Arrays (bucket, row, probe): the table entries and the look-ups of rows of fingerprints.
 
     Of two keys of a segment the larger looks for the smaller; that finds each pair once.
     """
     buckets, owners, probes = [], [], []
-    for place, (low, width) in enumerate(segment_bounds(segments)):
-        key = (fps >> np.uint64(low)) & np.uint64((1 << width) - 1)
-        for mask in ball(width, distance // segments):
+    for place, (word, low, width) in enumerate(index.segments):
+        key = (fps[:, word] >> np.uint64(low)) & np.uint64((1 << width) - 1)
+        for mask in ball(width, index.radius):
             other = key ^ mask
-            looks = other < key if mask else np.ones(len(key), bool)
+            looks = np.flatnonzero(other < key) if mask else np.arange(len(key))
             buckets.append(other[looks] | np.uint64(place << 32))
-            owners.append(fps[looks])
-            probes.append(np.full(int(looks.sum()), bool(mask)))
+            owners.append(looks)
+            probes.append(np.full(len(looks), bool(mask)))
     return np.concatenate(buckets), np.concatenate(owners), np.concatenate(probes)
 
 
@@ -138,10 +180,27 @@ def local_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
+def least_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """The links (a, b) of a forest of least weight that connects n items as all links do."""
+    rank = np.empty(len(a), np.int64)
+    rank[np.argsort(weight, kind="stable")] = np.arange(len(a))
+    label, still, picked = np.arange(n), np.arange(len(a)), []
+    while True:
+        still = still[label[a[still]] != label[b[still]]]
+        if not len(still):
+            return np.concatenate(picked) if picked else still
+        best = np.full(n, len(a))
+        np.minimum.at(best, label[a[still]], rank[still])
+        np.minimum.at(best, label[b[still]], rank[still])
+        chosen = still[np.isin(rank[still], best)]
+        picked.append(chosen)
+        label = local_roots(label[a[chosen]], label[b[chosen]], n)[label]
+
+
 def bucket_links(bucket: np.ndarray, fps: np.ndarray, probe: np.ndarray, distance: int):
-    """Yield (x, y) arrays: a forest of the links within buckets; rows sorted by bucket."""
+    """Yield (x, y) row numbers: a forest of the links within buckets; rows sorted by bucket."""
     order = np.lexsort((probe, bucket))
-    bucket, fps, probe = bucket[order], fps[order], probe[order]
+    bucket, probe = bucket[order], probe[order]
     last = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True))
     end = np.repeat(last, np.diff(np.concatenate(([-1], last))))
     # Each table entry is compared with what follows it in the bucket.
@@ -153,41 +212,55 @@ def bucket_links(bucket: np.ndarray, fps: np.ndarray, probe: np.ndarray, distanc
         if not len(rows):
             continue
         left = np.repeat(first[rows], partners[rows])
-        right = ragged(first[rows] + 1, partners[rows])
-        close = np.bitwise_count(fps[left] ^ fps[right]) <= distance
-        left, right = left[close], right[close]
+        right = order[ragged(first[rows] + 1, partners[rows])]
+        left = order[left]
+        apart = np.zeros(len(left), np.uint16)
+        for word in range(fps.shape[1]):
+            apart += np.bitwise_count(fps[left, word] ^ fps[right, word])
+        close = apart <= distance
+        left, right, apart = left[close], right[close], apart[close]
         used, inverse = np.unique(np.concatenate((left, right)), return_inverse=True)
-        root = local_roots(inverse[: len(left)], inverse[len(left) :], len(used))
-        leaf = np.flatnonzero(root != np.arange(len(root)))
-        yield fps[used[leaf]], fps[used[root[leaf]]]
+        a, b = inverse[: len(left)], inverse[len(left) :]
+        kept = least_forest(a, b, apart, len(used))
+        yield left[kept], right[kept]
+
 
+def matrix(rows: pa.RecordBatch | pa.Table, index: Index) -> np.ndarray:
+    """The fingerprints of the rows, one column per 64 bits."""
+    words = [np.asarray(rows.column(name)).view(np.uint64) for name in index.columns]
+    return np.stack(words, axis=1)
 
-def links(distinct: DataFrame, distance: int = 4, segments: int = SEGMENTS) -> DataFrame:
-    """(x, y): links that connect the same fingerprints as all pairs within `distance` do."""
+
+def links(distinct: DataFrame, index: Index = NEAR, node: str = "fp") -> DataFrame:
+    """(x, y): links between values of `node`, which names a fingerprint.
+
+    They connect the same fingerprints as all pairs within the distance that share a bucket do.
+    """
+    names = list(dict.fromkeys([node, *index.columns]))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.asarray(batch.column("fp")).view(np.uint64)
-            for at in range(0, len(fps), 4096):
-                bucket, owner, probe = entries(fps[at : at + 4096], distance, segments)
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                bucket, owner, probe = entries(matrix(part, index), index)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket.view(np.int64)), pa.array(owner.view(np.int64)),
-                     pa.array(probe)],
-                    ["bucket", "fp", "probe"],
+                    [pa.array(bucket.view(np.int64)), pa.array(probe),
+                     *part.take(pa.array(owner)).columns],
+                    ["bucket", "probe", *names],
                 )
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(parts)
             # Bucket and block are one number here, since only equality counts.
-            names = [np.asarray(table.column(c)) for c in ("bucket", "block")]
-            fresh = (names[0][1:] != names[0][:-1]) | (names[1][1:] != names[1][:-1])
+            marks = [np.asarray(table.column(c)) for c in ("bucket", "block")]
+            fresh = (marks[0][1:] != marks[0][:-1]) | (marks[1][1:] != marks[1][:-1])
             group = np.concatenate(([0], np.cumsum(fresh)))
-            fps = np.asarray(table.column("fp")).view(np.uint64)
-            for x, y in bucket_links(group, fps, np.asarray(table.column("probe")), distance):
+            nodes, probe = (np.asarray(table.column(c)) for c in (node, "probe"))
+            for x, y in bucket_links(group, matrix(table, index), probe, index.distance):
                 if len(x):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["x", "y"]
+                        [pa.array(nodes[x]), pa.array(nodes[y])], ["x", "y"]
                     )
 
         held: list[pa.RecordBatch] = []
@@ -210,10 +283,11 @@ def links(distinct: DataFrame, distance: int = 4, segments: int = SEGMENTS) -> D
         if held:
             yield from found(held)
 
-    rows = distinct.select("fp").mapInArrow(expand, "bucket long, fp long, probe boolean")
+    types = ", ".join(f"{name} long" for name in names)
+    rows = distinct.select(*names).mapInArrow(expand, f"bucket long, probe boolean, {types}")
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"))
     total = distinct.count() * sum(
-        1 + width // 2 for _, width in segment_bounds(segments)
+        (len(ball(width, index.radius)) + 1) // 2 for _, _, width in index.segments
     )
     hot = stored(
         sizes.where(F.col("n") > max(HOT_ROWS, total // MAX_HOT))
@@ -222,10 +296,10 @@ def links(distinct: DataFrame, distance: int = 4, segments: int = SEGMENTS) -> D
     )
     # A row of a hot bucket goes to every pair of blocks that its own block is part of.
     blocks = F.coalesce("blocks", F.lit(1))
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
+    own = F.pmod(F.xxhash64(node), blocks).cast("int")
     others = F.sequence(F.lit(0), blocks - 1)
     dealt = rows.join(F.broadcast(hot), "bucket", "left").withColumn("own", own).select(
-        "bucket", "fp", "probe",
+        "bucket", "probe", *names,
         F.explode(
             F.transform(others, lambda o: F.least(o, "own") * blocks + F.greatest(o, "own"))
         ).alias("block"),
@@ -234,20 +308,80 @@ def links(distinct: DataFrame, distance: int = 4, segments: int = SEGMENTS) -> D
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(match, "x long, y long")
 
 
+def similar(
+    matches: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, index: Index
+) -> DataFrame:
+    """The matches (x, y) whose documents share shingles to `index.similarity` or more.
+
+    `distinct` has the fingerprints with their number and a document `least` that has them;
+    `docs` has id and text. Only texts of matched documents are read into shingles.
+    """
+    matches = stored(
+        matches.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
+        "simhash-matches",
+    )
+    nodes = matches.select(F.col("x").alias("number")).union(matches.select("y"))
+    wanted = distinct.join(nodes.distinct(), "number", "left_semi")
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            numbers, sets = [], []
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            expected = matrix(batch, index).view(np.int64).tolist()
+            for number, text, words in zip(
+                batch.column("number").to_pylist(), texts, expected, strict=True
+            ):
+                hashes = shingle_hashes(text or b"", shingle)
+                # Another text may have the same id.
+                if long_fingerprint(hashes, index) == words:
+                    numbers.append(number)
+                    sets.append(np.unique(hashes).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                ["number", "shingles"],
+            )
+
+    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("least"))).select(
+        "number", "text", *index.columns
+    )
+    sets = stored(
+        texts.mapInArrow(shingles, "number long, shingles array<long>").dropDuplicates(["number"]),
+        "simhash-shingles",
+    )
+    left = sets.select(F.col("number").alias("x"), F.col("shingles").alias("of_x"))
+    right = sets.select(F.col("number").alias("y"), F.col("shingles").alias("of_y"))
+    common = F.size(F.array_intersect("of_x", "of_y"))
+    both = F.size("of_x") + F.size("of_y") - common
+    return (
+        matches.join(left, "x").join(right, "y")
+        .where(common >= F.lit(index.similarity) * both).select("x", "y")
+    )
+
+
 def near_duplicates(
-    docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id",
+    docs: DataFrame, shingle: int = 4, index: Index = NEAR, id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(id, fp, component_id) per row; the component is named by its smallest id."""
-    prints = stored(fingerprints(docs, shingle, id_col, text_col), "simhash-prints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    roots = components(links(distinct, distance), "x", "y")
+    """(id, fp, ..., component_id) per row; the component is named by its smallest id."""
+    columns = index.columns
+    prints = stored(fingerprints(docs, shingle, id_col, text_col, index), "simhash-prints")
+    distinct = prints.groupBy(*columns).agg(F.min("id").alias("least"))
+    node = "fp"
+    if index.similarity is not None:
+        node = "number"  # fixed by writing it
+        distinct = distinct.withColumn(node, F.monotonically_increasing_id())
+    distinct = stored(distinct, "simhash-distinct")
+    found = links(distinct, index, node)
+    if index.similarity is not None:
+        texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        found = similar(found, distinct, texts, shingle, index)
+    roots = components(found, "x", "y")
     rooted = stored(
-        distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root")
+        distinct.join(roots, F.col(node) == F.col("node"), "left").select(
+            *columns, "least", F.coalesce("root", node).alias("root")
         ),
         "simhash-roots",
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select(F.col("fp").alias("named_fp"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("named_fp"), "left").drop("named_fp")
+    named = rooted.join(names, "root").select(*columns, "component_id")
+    return prints.join(named, columns, "left").select("id", *columns, "component_id")
