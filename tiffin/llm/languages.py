@@ -6,7 +6,8 @@ others; within the chosen family one linear SVM per pair of languages votes. A l
 FAMILIES does not name is a family of its own.
 
 The SVMs are fitted on at most `max_rows` labelled rows, chosen by a hash of their id in the same
-share for every size and dealt evenly to the languages; all texts are predicted, whole.
+share for every size and dealt evenly to the languages; all texts are predicted, whole. One
+task fits them on that bounded sample, and the driver gets the weights alone.
 
 Defined results: a null text and one without letters give `und` and score 0. Rows without a
 label or an id are never learned from. With no labelled rows all texts are `und`; with one
@@ -15,6 +16,7 @@ language every text with letters is of that language. Each input row gives one o
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Mapping
 from itertools import combinations
 
@@ -181,14 +183,21 @@ def train(
                     ["lang", "x"],
                 )
 
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs, parts = [], []
+        for batch in batches:
+            langs.extend(batch.column("lang").to_pylist())
+            parts.extend(np.frombuffer(v, np.float16) for v in batch.column("x").to_pylist())
+        if langs:
+            x = np.stack(parts, dtype=np.float32)
+            model = Model(x, np.array(langs, object), families)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)])], ["model"])
+
     rows = sample(labelled, max_rows).mapInArrow(run, "lang string, x binary")
     # A fixed order, so that sums come out alike in every run.
-    table = rows.orderBy("lang", "x").toArrow()
-    if not table.num_rows:
-        return None
-    data = b"".join(table.column("x").to_pylist())
-    x = np.frombuffer(data, np.float16).reshape(-1, DIMENSIONS).astype(np.float32)
-    return Model(x, np.array(table.column("lang").to_pylist(), object), families)
+    ordered = rows.repartition(1).sortWithinPartitions("lang", "x")
+    fitted = ordered.mapInArrow(fit, "model binary").collect()
+    return pickle.loads(fitted[0][0]) if fitted else None
 
 
 def identify(
