@@ -99,6 +99,17 @@ def test_context_join_keeps_rows_without_id(spark):
     assert got == sorted([("a", 1.0, "x"), (None, 2.0, None), (None, 2.0, None), ("b", 3.0, None)], key=str)
 
 
+def test_repeated_context_leaves_each_prediction_once(spark):
+    left = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "UUID string, prediction double")
+    right = spark.createDataFrame(
+        [("a", "y", 1), ("a", "x", 2), ("a", "x", 3), ("c", "z", 4)], "UUID string, ctx string, `n.o` int"
+    )
+    joined = matching.attach_context_left(left, right)
+    assert joined.columns == ["UUID", "prediction", "ctx", "n.o"]
+    assert sorted(tuple(r) for r in joined.collect()) == [
+        ("a", 1.0, "x", 2), ("a", 2.0, "x", 2), ("b", 3.0, None, None)]
+
+
 def test_lookup_takes_the_first_of_several_responses(spark):
     asked = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "UUID string")
     answers = spark.createDataFrame(

@@ -188,7 +188,7 @@ def test_a_failing_required_sink_stops_the_batch_and_a_restart_repeats_it(spark,
     with pytest.raises(Exception, match="topic is down"):
         scored_run(spark, session, model, folder, sink_list)
     errors = spark.read.json(f"{folder}/errors").collect()
-    assert {e["note"] for e in errors} == {"sink messages", "batch failed"}
+    assert [e["note"] for e in errors] == ["sink messages"]
     sink_list[1].write = good
     scored_run(spark, session, model, folder, sink_list)
     assert spark.read.json(f"{folder}/documents").count() == 2

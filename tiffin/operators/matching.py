@@ -46,8 +46,18 @@ def first_response(responses: DataFrame) -> DataFrame:
 
 
 def attach_context_left(predictions: DataFrame, context: DataFrame) -> DataFrame:
-    """Predictions with the request context of the same id, where there is one."""
-    return _join_by_id(predictions, context, "left")
+    """Each prediction once, with the request context of the same id, where there is one.
+
+    Of several contexts of an id the smallest counts, by its columns in order.
+    """
+    rest = [c for c in context.columns if c != "UUID"]
+    single = (
+        context.where(F.col("UUID").isNotNull())
+        .groupBy("UUID")
+        .agg(F.min(F.struct(F.lit(0).alias("_first"), *[F.col(f"`{c}`") for c in rest])).alias("_row"))
+        .select("UUID", *[F.col(f"_row.`{c}`") for c in rest])
+    )
+    return _join_by_id(predictions, single, "left")
 
 
 def response_lookup(requests: DataFrame, responses: DataFrame) -> DataFrame:

@@ -30,6 +30,10 @@ ERROR_SCHEMA = T.StructType(
 Writer = Callable[[DataFrame, int], None]
 
 
+class SinkFailed(RuntimeError):
+    """A required sink failed; `fan_out` has recorded it."""
+
+
 @dataclass
 class Sink:
     """A named writer; `on_error` says whether its failure stops the batch."""
@@ -106,6 +110,6 @@ def fan_out(df: DataFrame, epoch: int, sinks: list[Sink], errors: str | None = N
             if errors:
                 dead_letter(df.sparkSession, errors, epoch, str(error), f"sink {sink.name}")
             if sink.on_error != "continue":
-                raise
+                raise SinkFailed(f"sink {sink.name}: {error}") from error
             failed.append(sink.name)
     return failed
