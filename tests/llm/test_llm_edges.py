@@ -166,3 +166,37 @@ def test_similar_documents_share_four_fifths_of_their_shingles(spark):
     assert all(got[i] in (i, i - i % 2) for i in got)
     assert sum(got[i + 1] == i for i in list(pairs)[:100]) >= 97
     assert not any(got[i + 1] == i for i in list(pairs)[100:])
+
+
+def test_every_match_around_the_similarity_is_judged(spark):
+    """A refuted match must not stand for a true one that it displaced."""
+    rng = random.Random(5)
+    texts = []
+    for group in range(40):
+        base = [f"w{group}x{i}" for i in range(100)]
+        edits = [(rng.randrange(5, 95), f"e{group}x{i}") for i in range(12)]
+        for _ in range(12):
+            words = list(base)
+            for at, word in rng.sample(edits, rng.choice((2, 3, 4))):
+                words[at] = word
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index = simhash.SIMILAR
+    items = []
+    for text in texts:
+        hashes = simhash.shingle_hashes(text.encode(), 5)
+        fps = [f & (1 << 64) - 1 for f in simhash.long_fingerprint(hashes, index)]
+        items.append((fps, brute.shingles(text, 5)))
+
+    def linked(a, b):
+        differ = [f ^ g for f, g in zip(a[0], b[0], strict=True)]
+        meet = any(
+            (differ[word] >> low & (1 << width) - 1).bit_count() <= index.radius
+            for word, low, width in index.segments
+        )
+        close = sum(d.bit_count() for d in differ) <= index.distance
+        return close and meet and brute.similarity(a[1], b[1]) >= index.similarity
+
+    got = {r["id"]: r["component_id"] for r in simhash.near_duplicates(docs, 5, index).collect()}
+    wanted = brute.component_ids(list(range(len(texts))), items, linked)
+    assert [got[i] for i in range(len(texts))] == wanted

@@ -15,9 +15,12 @@ that matches of a smaller similarity make no link.
 
 Copies collapse to one fingerprint first. Of the verified matches of a bucket only a forest of
 the least distances is kept, which connects the same documents. Buckets above HOT_ROWS are dealt
-out in pairs of blocks, each a task of bounded size, so every pair is still compared. The exact
-check sees the matches of the forests alone: in a group of many near copies it judges each
-document by its closest ones of each bucket.
+out in pairs of blocks, each a task of bounded size, so every pair is still compared.
+
+The exact check has two rounds, since a refuted edge of a forest may have displaced a true link.
+The first judges the forests. What it leaves open are the matches between components that a
+refuted edge touches; the second round looks all of them up and judges each. So the result is
+that of the exact check of every match, and only pairs within one component go unjudged.
 
 Defined results: a null text counts as empty; texts without words have fingerprint zero and
 link like any other; a text with fewer words than a shingle is one shingle. Each input row
@@ -197,8 +200,25 @@ def least_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np
         label = local_roots(label[a[chosen]], label[b[chosen]], n)[label]
 
 
-def bucket_links(bucket: np.ndarray, fps: np.ndarray, probe: np.ndarray, distance: int):
-    """Yield (x, y) row numbers: a forest of the links within buckets; rows sorted by bucket."""
+def met_before(left: np.ndarray, right: np.ndarray, place: np.ndarray, index: Index) -> np.ndarray:
+    """Whether pairs of fingerprints share a bucket of a segment before `place`."""
+    found = np.zeros(len(left), bool)
+    for at, (word, low, width) in enumerate(index.segments):
+        mask = np.uint64((1 << width) - 1)
+        differ = (left[:, word] ^ right[:, word]) >> np.uint64(low) & mask
+        found |= (at < place) & (np.bitwise_count(differ) <= index.radius)
+    return found
+
+
+def bucket_links(
+    bucket: np.ndarray, fps: np.ndarray, probe: np.ndarray, index: Index,
+    label: np.ndarray | None = None, place: np.ndarray | None = None,
+):
+    """Yield (x, y) row numbers of links within buckets; rows sorted by bucket.
+
+    A forest of the links; with a `label` per row all of them whose labels differ, each only in
+    the bucket of the first segment (`place`) that has it.
+    """
     order = np.lexsort((probe, bucket))
     bucket, probe = bucket[order], probe[order]
     last = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True))
@@ -217,8 +237,14 @@ def bucket_links(bucket: np.ndarray, fps: np.ndarray, probe: np.ndarray, distanc
         apart = np.zeros(len(left), np.uint16)
         for word in range(fps.shape[1]):
             apart += np.bitwise_count(fps[left, word] ^ fps[right, word])
-        close = apart <= distance
+        close = apart <= index.distance
+        if label is not None:
+            close &= label[left] != label[right]
         left, right, apart = left[close], right[close], apart[close]
+        if label is not None:
+            fresh = ~met_before(fps[left], fps[right], place[left], index)
+            yield left[fresh], right[fresh]
+            continue
         used, inverse = np.unique(np.concatenate((left, right)), return_inverse=True)
         a, b = inverse[: len(left)], inverse[len(left) :]
         kept = least_forest(a, b, apart, len(used))
@@ -231,12 +257,15 @@ def matrix(rows: pa.RecordBatch | pa.Table, index: Index) -> np.ndarray:
     return np.stack(words, axis=1)
 
 
-def links(distinct: DataFrame, index: Index = NEAR, node: str = "fp") -> DataFrame:
+def links(
+    distinct: DataFrame, index: Index = NEAR, node: str = "fp", label: str | None = None
+) -> DataFrame:
     """(x, y): links between values of `node`, which names a fingerprint.
 
     They connect the same fingerprints as all pairs within the distance that share a bucket do.
+    With a column `label` they are all those pairs whose labels differ.
     """
-    names = list(dict.fromkeys([node, *index.columns]))
+    names = list(dict.fromkeys([node, *index.columns, *([label] if label else [])]))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,7 +286,8 @@ def links(distinct: DataFrame, index: Index = NEAR, node: str = "fp") -> DataFra
             fresh = (marks[0][1:] != marks[0][:-1]) | (marks[1][1:] != marks[1][:-1])
             group = np.concatenate(([0], np.cumsum(fresh)))
             nodes, probe = (np.asarray(table.column(c)) for c in (node, "probe"))
-            for x, y in bucket_links(group, matrix(table, index), probe, index.distance):
+            of, place = (np.asarray(table.column(label)), marks[0] >> 32) if label else (None, None)
+            for x, y in bucket_links(group, matrix(table, index), probe, index, of, place):
                 if len(x):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(nodes[x]), pa.array(nodes[y])], ["x", "y"]
@@ -308,18 +338,19 @@ def links(distinct: DataFrame, index: Index = NEAR, node: str = "fp") -> DataFra
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(match, "x long, y long")
 
 
-def similar(
+def ordered(matches: DataFrame) -> DataFrame:
+    """The distinct matches (x, y), x being the smaller."""
+    return matches.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
+def shingle_sets(
     matches: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, index: Index
 ) -> DataFrame:
-    """The matches (x, y) whose documents share shingles to `index.similarity` or more.
+    """(number, shingles) of each document in the matches; only their texts are read.
 
     `distinct` has the fingerprints with their number and a document `least` that has them;
-    `docs` has id and text. Only texts of matched documents are read into shingles.
+    `docs` has id and text.
     """
-    matches = stored(
-        matches.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(),
-        "simhash-matches",
-    )
     nodes = matches.select(F.col("x").alias("number")).union(matches.select("y"))
     wanted = distinct.join(nodes.distinct(), "number", "left_semi")
 
@@ -344,10 +375,13 @@ def similar(
     texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("least"))).select(
         "number", "text", *index.columns
     )
-    sets = stored(
-        texts.mapInArrow(shingles, "number long, shingles array<long>").dropDuplicates(["number"]),
-        "simhash-shingles",
+    return texts.mapInArrow(shingles, "number long, shingles array<long>").dropDuplicates(
+        ["number"]
     )
+
+
+def similar(matches: DataFrame, sets: DataFrame, index: Index) -> DataFrame:
+    """The matches (x, y) whose documents share shingles to `index.similarity` or more."""
     left = sets.select(F.col("number").alias("x"), F.col("shingles").alias("of_x"))
     right = sets.select(F.col("number").alias("y"), F.col("shingles").alias("of_y"))
     common = F.size(F.array_intersect("of_x", "of_y"))
@@ -358,6 +392,39 @@ def similar(
     )
 
 
+def similar_links(distinct: DataFrame, docs: DataFrame, shingle: int, index: Index) -> DataFrame:
+    """(x, y): links that connect the same documents as all matches of the similarity do."""
+    matches = stored(ordered(links(distinct, index, "number")), "simhash-matches")
+    sets = stored(shingle_sets(matches, distinct, docs, shingle, index), "simhash-shingles")
+    roots = stored(components(similar(matches, sets, index), "x", "y"), "simhash-first")
+
+    def named(name: str) -> DataFrame:
+        return roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+
+    # A match between two components lies on a path of forest edges: a refuted one leaves the
+    # one component, a refuted one enters the other.
+    x_root, y_root = F.coalesce("x_root", "x"), F.coalesce("y_root", "y")
+    refuted = matches.join(named("x"), "x", "left").join(named("y"), "y", "left").where(
+        x_root != y_root
+    )
+    touched = stored(
+        refuted.select(F.explode(F.array(x_root, y_root)).alias("root")).distinct(),
+        "simhash-touched",
+    )
+    undecided = stored(
+        distinct.join(named("number"), "number", "left")
+        .withColumn("root", F.coalesce("number_root", "number")).drop("number_root")
+        .join(touched, "root", "left_semi"),
+        "simhash-undecided",
+    )
+    rest = stored(
+        ordered(links(undecided, index, "number", "root")).join(matches, ["x", "y"], "left_anti"),
+        "simhash-rest",
+    )
+    stars = roots.select(F.col("node").alias("x"), F.col("root").alias("y"))
+    return stars.union(similar(rest, sets, index))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 4, index: Index = NEAR, id_col: str = "doc_id",
     text_col: str = "text",
@@ -371,10 +438,11 @@ def near_duplicates(
         node = "number"  # fixed by writing it
         distinct = distinct.withColumn(node, F.monotonically_increasing_id())
     distinct = stored(distinct, "simhash-distinct")
-    found = links(distinct, index, node)
-    if index.similarity is not None:
+    if index.similarity is None:
+        found = links(distinct, index, node)
+    else:
         texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        found = similar(found, distinct, texts, shingle, index)
+        found = similar_links(distinct, texts, shingle, index)
     roots = components(found, "x", "y")
     rooted = stored(
         distinct.join(roots, F.col(node) == F.col("node"), "left").select(
