@@ -134,3 +134,12 @@ def test_tuning_returns_a_metric_per_point(spark, sf_dir):
     found = training.tune(rows, depths=[2], iterations=[1, 2])
     assert len(found.validationMetrics) == 2
     assert found.validationMetrics[1] < found.validationMetrics[0]
+
+
+def test_queries_run_the_grid_and_the_trees_of_the_reference(spark, sf_dir):
+    from tiffin.catalog import QUERIES, models
+
+    points = QUERIES["tune_grid"](spark, sf_dir).collect()
+    assert [(r["max_depth"], r["max_iter"]) for r in points] == [(5, 20), (5, 40)]
+    assert [r["n_trees"] for r in QUERIES["gbt_train"](spark, sf_dir).collect()] == [20, 40]
+    assert models.trained(spark, sf_dir).model.stages[-1].getNumTrees == training.MAX_ITER
