@@ -1,7 +1,7 @@
 """The training-data pipeline: one stage after the other, each written and read again.
 
 Every stage reads all its predecessor kept and returns the columns of `documents`; the last one
-adds the ids of SentencePiece. SQL cannot express the first and the last stage, so there is no
+gives the ids of SentencePiece and the text they decode to. SQL cannot express the first and the last stage, so there is no
 SQL for the whole.
 """
 
@@ -23,7 +23,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, or no letters in it."""
+    """Puts the predicted language into `lang`; drops documents without one: no text, no letters."""
     rows = _numbered(docs)
     model = languages.train(rows, ~languages.held_out(F.col("doc_id")))
     found = languages.identify(rows, model, id_col="row_number").where(
@@ -32,7 +32,8 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Without any labelled row nothing can be told, and nothing is rejected.
     if model is None:
         return docs
-    return rows.join(found, F.col("row_number") == F.col("id"), "left_semi").select(*docs.columns)
+    named = rows.join(found, F.col("row_number") == F.col("id"))
+    return named.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +67,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids) of every copy in the mix."""
-    rows = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return rows.select(F.col("id").alias("doc_id"), "ids")
+    """(doc_id, ids, decoded) of every copy in the mix."""
+    rows = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
+    return rows.select(F.col("id").alias("doc_id"), "ids", "decoded")
 
 
 STAGES = [

@@ -8,10 +8,12 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tests.oracle import compare, connect
+from tiffin.llm import languages
 from tiffin.llm.queries import ORACLES, QUERIES
 
 
@@ -114,3 +116,18 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     assert len(kept["sentencepiece"]) == len(kept["mix_sources"])
     for row in kept["sentencepiece"]:
         assert row["ids"] == library.encode(text[row["doc_id"]])
+
+
+def test_pipeline_hands_on_predictions_and_decodes(spark, sf_dir):
+    stages = dict(corpus_pipeline.STAGES)
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    held_out = languages.held_out(F.col("doc_id")) & F.col("lang").isNotNull()
+    first = source.where(held_out).orderBy("doc_id").first()
+    # A wrong label of a document that is not learned from.
+    mislabelled = F.when(F.col("doc_id") == first["doc_id"], "xx").otherwise(F.col("lang"))
+    rows = stages["language_id"](spark, source.withColumn("lang", mislabelled), sf_dir).collect()
+    assert {r["doc_id"]: r["lang"] for r in rows}[first["doc_id"]] == first["lang"]
+    library = sentencepiece.SentencePieceProcessor(
+        model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for row in stages["sentencepiece"](spark, source.limit(50), sf_dir).collect():
+        assert row["decoded"] == library.decode(row["ids"])
