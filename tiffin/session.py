@@ -102,6 +102,14 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/tiffin/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a table under the shared folder that nothing reads any more."""
+    if not path.startswith(f"{work_root(spark)}/tiffin/"):
+        raise ValueError(f"{path} is not under the work folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative jobs a reliable checkpoint folder unless the cluster already did."""
     context = spark.sparkContext
