@@ -31,8 +31,8 @@ def test_equal_to_sql(spark, sf_dir, name):
     assert compare(spark, connect(sf_dir), name, QUERIES[name], ORACLES[name], sf_dir) is None
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_sentencepiece_equals_the_library(spark, sf_dir, docs):

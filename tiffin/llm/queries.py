@@ -11,9 +11,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import anchors, exact, inner_search, languages, mixing, pieces, simhash
-from tiffin.llm import suffixes, token_counts, urls
-from tiffin.llm.common import documents
+from tiffin.llm import alignment, anchors, archive, clustering, exact, inner_search, languages
+from tiffin.llm import mixing, pieces, simhash, suffixes, token_counts, urls
+from tiffin.llm.common import documents, stored
+from tiffin.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -283,3 +284,75 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    digest = F.when(F.col("n_a") > 0, sha256(F.col("groups"))).otherwise("")
+    rows = stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.weigh_links(rows).select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        "groups_sha256",
+    )
+
+
+def _op12_sql(k: int = 16, rounds: int = 3, dims: int = 64, scale: int = 64) -> str:
+    """The rounds one after the other; c0, c1, ... are the centroids, a0, a1, ... the clusters."""
+    steps = [
+        f"""kept AS (
+  SELECT vec_id, [floor({scale} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = {dims}
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), c0 AS (
+  SELECT (row_number() OVER (ORDER BY h) - 1)::INTEGER AS cluster, v AS c
+  FROM (SELECT v, sha256('1:' || vec_id) AS h FROM kept ORDER BY h LIMIT {k})
+)"""
+    ]
+    for turn in range(rounds + 1):
+        steps.append(f"""a{turn} AS (
+  SELECT vec_id, v, cluster, distance FROM (
+    SELECT vec_id, v, cluster, distance,
+      row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS place
+    FROM (SELECT vec_id, v, cluster,
+        list_sum([(v[i] - c[i]) * (v[i] - c[i]) FOR i IN range(1, {dims + 1})])::BIGINT AS distance
+      FROM kept, c{turn}))
+  WHERE place = 1
+)""")
+        if turn < rounds:
+            steps.append(f"""c{turn + 1} AS (
+  SELECT old.cluster, coalesce(fresh.c, old.c) AS c FROM c{turn} old LEFT JOIN (
+    SELECT cluster, list(((s - ((s % n) + n) % n) / n)::BIGINT ORDER BY i) AS c FROM (
+      SELECT cluster, i, sum(v[i]) AS s, count(*) AS n
+      FROM a{turn}, range(1, {dims + 1}) t(i) GROUP BY cluster, i)
+    GROUP BY cluster) fresh ON fresh.cluster = old.cluster
+)""")
+    return "WITH " + ", ".join(steps) + f"""
+SELECT a.vec_id, a.cluster, a.distance,
+  sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+  sum(a.distance) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.cluster"""
+
+
+@query("op12_centroid_clustering", _op12_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return clustering.clusters(vectors).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+        sha256(F.col("centroid")).alias("centroid_sha256"),
+    )
+
+
+@query("op13_token_archive")
+def op13_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = archive.archived(
+        documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
+        work_path(spark, "token-archive"), end_id=2,
+    )
+    return rows.select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
