@@ -27,7 +27,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, repeat
+from itertools import accumulate, chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -42,15 +42,17 @@ from tiffin.llm.token_counts import byte_letters
 
 BLANK = "▁"
 _cut = re.compile(r" (?<=\S )")
-STORE_UNITS = 400_000
+STORE_UNITS = 700_000
 STORE_VALUES = 8_000_000
+LEARN_AT_ONCE = 20_000
 CHUNK_BITS = 24
 
 
 def expand(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int]):
     """The pairs of overlapping tokens of one group; both sides end at the same byte."""
     if len(ids_a) == 1:
-        return [(ids_a[0], b) for b in ids_b]
+        first = ids_a[0]
+        return [(first, b) for b in ids_b]
     if len(ids_b) == 1:
         return [(a, ids_b[0]) for a in ids_a]
     links, i, j = [], 0, 0
@@ -68,11 +70,12 @@ def groups_of(ids_a: list[int], ids_b: list[int], sizes_a, sizes_b):
     """(A ids, B ids, links) of each group; `sizes` give the bytes of a token."""
     ends_a = list(accumulate(map(sizes_a.__getitem__, ids_a)))
     ends_b = list(accumulate(map(sizes_b.__getitem__, ids_b)))
-    at_a = dict(zip(ends_a, range(len(ends_a)), strict=True))
-    at_b = dict(zip(ends_b, range(len(ends_b)), strict=True))
+    # From an end to the index of the token behind it.
+    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))  # noqa: B905
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))  # noqa: B905
     out, a, b = [], 0, 0
     for end in sorted(at_a.keys() & at_b.keys()):
-        next_a, next_b = at_a[end] + 1, at_b[end] + 1
+        next_a, next_b = at_a[end], at_b[end]
         part_a, part_b = ids_a[a:next_a], ids_b[b:next_b]
         links = expand(part_a, part_b, ends_a[a:next_a], ends_b[b:next_b])
         out.append((part_a, part_b, links))
@@ -118,6 +121,7 @@ class Aligner:
         ]
         self.sizes_a = {i: len(t) for i, t in self.bytes_a.items()}
         self.sizes_b = list(map(len, self.bytes_b))
+        self.spelled = list(map(str, range(max(len(self.bytes_b), 1 + max(self.bytes_a)))))
         self.lone_blank = self.b.piece_to_id(BLANK)
         self._clear()
 
@@ -131,9 +135,11 @@ class Aligner:
         self.counts = np.zeros((0, 5), np.int64)  # A ids, B ids, groups, links, faults
 
     def _learn(self, units: list[str]) -> None:
+        """Align and hold new units, some thousands at once: the library's forms are large."""
         many_a = self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
         many_b = self.b.encode(units, num_threads=1)
         counts, links = [], []
+        spelled, numbered = self.spelled, self.pair_index.setdefault
         for unit, coded, ids_b in zip(units, many_a, many_b, strict=True):
             ids_a = coded.ids
             # Alone, an empty text has no tokens; after another unit it is a blank.
@@ -148,13 +154,17 @@ class Aligner:
                 continue
             groups = groups_of(ids_a, ids_b, self.sizes_a, self.sizes_b)
             self.texts.append(
-                ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b, _ in groups)
+                ";".join(
+                    [
+                        ",".join([spelled[i] for i in a]) + "|" + ",".join([spelled[i] for i in b])
+                        for a, b, _ in groups
+                    ]
+                )
             )
             before = len(links)
             for _, _, found in groups:
                 for a, b in found:
-                    key = a << 32 | b
-                    links.append(self.pair_index.setdefault(key, len(self.pair_index)))
+                    links.append(numbered(a << 32 | b, len(self.pair_index)))
             counts.append((len(ids_a), len(ids_b), len(groups), len(links) - before, 0))
         begin = len(self.index)
         self.index.update(zip(units, range(begin, begin + len(units)), strict=True))
@@ -163,7 +173,6 @@ class Aligner:
         self.starts = np.concatenate((self.starts, ends - new[:, 3]))
         self.counts = np.concatenate((self.counts, new))
         self.links = np.concatenate((self.links, np.array(links, np.int32)))
-        self.pairs = np.fromiter(self.pair_index, np.int64, len(self.pair_index))
 
     def align(self, texts: list[str]):
         """Per text: counts (A ids, B ids, groups, links), the groups as text, and the distinct
@@ -171,11 +180,14 @@ class Aligner:
         if len(self.index) > STORE_UNITS or len(self.links) > STORE_VALUES:
             self._clear()
         parts = [_cut.split(t) if t else [] for t in texts]
-        units = [u for part in parts for u in part]
+        units = list(chain.from_iterable(parts))
         rows = np.fromiter(map(self.index.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(rows < 0).tolist()
         if missing:
-            self._learn(list(dict.fromkeys([units[i] for i in missing])))
+            new = list(dict.fromkeys([units[i] for i in missing]))
+            for at in range(0, len(new), LEARN_AT_ONCE):
+                self._learn(new[at : at + LEARN_AT_ONCE])
+            self.pairs = np.fromiter(self.pair_index, np.int64, len(self.pair_index))
             rows[missing] = [self.index[units[i]] for i in missing]
         per_text = np.fromiter(map(len, parts), np.int64, len(parts))
         ends = np.cumsum(per_text)

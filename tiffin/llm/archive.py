@@ -13,9 +13,10 @@ unsigned integers of 2 or 4 bytes, whichever the vocabulary needs. The index is
 with the columns id, offset, n_tokens and first (ids before the document in this shard), so one
 document is read with two short reads, and its frame is decompressed alone.
 
-Documents are put in ascending order of their id by a range exchange of the encoded ids. The
-dictionary is trained in one task on a bounded sample: windows of at most SAMPLE_BYTES of the
-SAMPLE_DOCS documents of the smallest hashes. It changes sizes only, never what is read.
+The frames are made before documents are put in ascending order of their id, so the range
+exchange moves them compressed. The dictionary is trained in one task on a bounded sample:
+windows of at most SAMPLE_BYTES of SAMPLE_DOCS documents chosen by a hash. It changes sizes only,
+never what is read.
 
 Defined results: a null or empty text has the end id alone. Null ids come last; rows of one id
 are ordered by their ids' hash, equal rows by nothing more, since they cannot be told apart.
@@ -28,13 +29,15 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -42,20 +45,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.llm.common import ragged, slices, stored
+from tiffin.llm.common import ragged, slices
 from tiffin.llm.token_counts import _blanks, _separators
+from tiffin.session import remove_path, work_path
 
 MAGIC = b"TIFFTOK1"
-SAMPLE_DOCS = 4096
+SAMPLE_DOCS = 2048
 SAMPLE_BYTES = 4096
 DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 64 << 20
 SHARD_DOCS = 1 << 20
 LEVEL = 3
-STORE_WORDS = 400_000
+STORE_WORDS = 1_000_000
 STORE_IDS = 8_000_000
+LEARN_AT_ONCE = 20_000
 READERS = 20_000
 BATCH_IDS = 1 << 21
+# Latin letters between ASCII marks other than the apostrophe: the tokenizer parts them too.
+_marked = re.compile(
+    r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)"
+)
 
 
 class WordEncoder:
@@ -82,6 +91,11 @@ class WordEncoder:
             )
         ):
             raise ValueError("this kind of tokenizer file is not supported")
+        # What all special tokens begin with; without letters it has no case. An empty one is
+        # part of every text, so that nothing is changed or parted.
+        self.mark = os.path.commonprefix([t["content"] for t in spec["added_tokens"]])
+        if self.mark.lower() != self.mark.upper():
+            self.mark = ""
         self.library = Tokenizer.from_str(data.decode())
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._clear()
@@ -92,27 +106,56 @@ class WordEncoder:
         self.sizes = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
 
+    def words(self, text: str) -> list[str]:
+        """The words of a text; in lower case if that cannot make a difference, which leaves
+        fewer different ones."""
+        if text.isascii() and self.mark not in text:
+            text = text.lower()
+        return _blanks.split(text) if _separators.search(text) else text.split()
+
+    def _hold(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        begin = len(self.index)
+        self.index.update(zip(words, range(begin, begin + len(words)), strict=True))
+        self.starts = np.concatenate((self.starts, np.cumsum(sizes) - sizes + len(self.flat)))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.flat = np.concatenate((self.flat, flat))
+
+    def _learn(self, words: list[str]) -> None:
+        """Hold new words; those of letters between marks as what their parts are held as."""
+        found = list(map(_marked.fullmatch, words))
+        split = {
+            w: [part for part in m.groups() if part]
+            for w, m in zip(words, found, strict=True) if m and (m[1] or m[3]) and self.mark not in w
+        }
+        parts = [part for chosen in split.values() for part in chosen]
+        fresh = dict.fromkeys([w for w in words if w not in split])
+        fresh.update(dict.fromkeys([part for part in parts if part not in self.index]))
+        whole = list(fresh)
+        for at in range(0, len(whole), LEARN_AT_ONCE):
+            some = whole[at : at + LEARN_AT_ONCE]
+            forms = [
+                e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)
+            ]
+            sizes = np.fromiter(map(len, forms), np.int64, len(forms))
+            flat = np.fromiter(chain.from_iterable(forms), np.uint32, int(sizes.sum()))
+            self._hold(some, flat, sizes)
+        if split:
+            rows = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+            sizes = self.sizes[rows]
+            flat = self.flat[ragged(self.starts[rows], sizes)]
+            ends = np.cumsum(np.fromiter(map(len, split.values()), np.int64, len(split)))
+            self._hold(list(split), flat, np.diff(np.cumsum(sizes)[ends - 1], prepend=0))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and how many each text has."""
         if len(self.index) > STORE_WORDS or len(self.flat) > STORE_IDS:
             self._clear()
-        parts = [_blanks.split(t) if _separators.search(t) else t.split() for t in texts]
-        words = [w for part in parts for w in part]
+        parts = list(map(self.words, texts))
+        words = list(chain.from_iterable(parts))
         rows = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(rows < 0).tolist()
         if missing:
-            new = list(dict.fromkeys([words[i] for i in missing]))
-            forms = [
-                e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)
-            ]
-            begin = len(self.index)
-            self.index.update(zip(new, range(begin, begin + len(new)), strict=True))
-            sizes = np.fromiter(map(len, forms), np.int64, len(forms))
-            self.starts = np.concatenate((self.starts, np.cumsum(sizes) - sizes + len(self.flat)))
-            self.sizes = np.concatenate((self.sizes, sizes))
-            self.flat = np.concatenate(
-                (self.flat, np.fromiter((i for f in forms for i in f), np.uint32))
-            )
+            self._learn(list(dict.fromkeys([words[i] for i in missing])))
             rows[missing] = [self.index[words[i]] for i in missing]
         sizes = self.sizes[rows]
         ids = self.flat[ragged(self.starts[rows], sizes)]
@@ -170,35 +213,75 @@ def encode(
     )
 
 
+def sampled(rows: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """About `sample_docs` rows, never more than twice as many; chosen by the hash of a row."""
+    total = rows.count()
+    if total <= 2 * sample_docs:
+        return rows
+    place = F.xxhash64(*rows.columns)
+    some = rows.where(place < int(sample_docs / total * (1 << 63)) * 2 - (1 << 63))
+    return some.orderBy(place).limit(2 * sample_docs)
+
+
 def train_dictionary(
-    encoded: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES,
-    size: int = DICTIONARY_BYTES,
+    encoded: DataFrame, sample_bytes: int = SAMPLE_BYTES, size: int = DICTIONARY_BYTES
 ) -> bytes:
-    """A zstandard dictionary of at most `size` bytes, from windows of a bounded sample.
+    """A zstandard dictionary of at most `size` bytes, from a window of each of the given rows.
 
-    Too few samples to train on serve as the dictionary themselves; without any it is empty.
+    The rows go through one task: give a sample. Too few to train on serve as the dictionary
+    themselves; without any it is empty.
     """
-    place = F.xxhash64("id", "ids")
-    windows = F.ceil(F.length("ids") / sample_bytes).cast("long")
-    first = F.pmod(F.xxhash64(place), F.greatest(windows, F.lit(1))) * sample_bytes + 1
+    place = F.xxhash64("ids")
+    windows = F.greatest(F.ceil(F.length("ids") / sample_bytes).cast("long"), F.lit(1))
+    first = F.pmod(place, windows) * sample_bytes + 1
     window = F.col("ids").substr(first.cast("int"), F.lit(sample_bytes))
-    sample = (
-        encoded.select(place.alias("place"), window.alias("window"))
-        .orderBy("place", "window").limit(sample_docs)
-    )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [w for batch in batches for w in batch.column("window").to_pylist() if w]
+        held = sorted(w for batch in batches for w in batch.column("window").to_pylist() if w)
         try:
             dictionary = zstandard.train_dictionary(size, held).as_bytes()
         except (zstandard.ZstdError, ValueError):
             dictionary = b"".join(held)[-size:]
         yield pa.RecordBatch.from_arrays([pa.array([dictionary], pa.binary())], ["dictionary"])
 
-    row = sample.coalesce(1).mapInArrow(train, "dictionary binary").first()
+    row = encoded.select(window.alias("window")).repartition(1).mapInArrow(
+        train, "dictionary binary"
+    ).first()
     return bytes(row["dictionary"]) if row else b""
 
 
+def pack(encoded: DataFrame, dictionary: bytes, level: int = LEVEL) -> DataFrame:
+    """(id, width, n_tokens, place, frame): the ids of each row as one zstandard frame, and a
+    hash of them that orders rows of one id."""
+    # At most DICTIONARY_BYTES.
+    shared = encoded.sparkSession.sparkContext.broadcast(dictionary)
+    fields = [
+        T.StructField("id", encoded.schema["id"].dataType),
+        T.StructField("width", T.IntegerType(), False),
+        T.StructField("n_tokens", T.LongType(), False),
+        T.StructField("place", T.LongType(), False),
+        T.StructField("frame", T.BinaryType(), False),
+    ]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=level, dict_data=dictionary_of(shared.value))
+        for batch in batches:
+            raw = batch.column("ids").to_pylist()
+            widths = np.asarray(batch.column("width")).astype(np.int64)
+            sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // widths
+            places = np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"), batch.column("width"), pa.array(sizes),
+                    pa.array(places.view(np.int64)),
+                    pa.array(list(map(compressor.compress, raw)), pa.binary()),
+                ],
+                [f.name for f in fields],
+            )
+
+    return encoded.select("id", "width", "ids").mapInArrow(run, T.StructType(fields))
+
+
 def dictionary_of(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
@@ -206,12 +289,12 @@ def dictionary_of(data: bytes) -> zstandard.ZstdCompressionDict | None:
 class ShardWriter:
     """One file, frame by frame."""
 
-    def __init__(self, folder: str, dictionary: bytes):
+    def __init__(self, folder: str, digest: bytes):
         # A name of its own for each attempt: a repeated task never meets half a file.
         self.name = f"{uuid.uuid4().hex}.tok"
         system, base = fs.FileSystem.from_uri(folder)
         self.out = system.open_output_stream(f"{base}/{self.name}")
-        self.out.write(MAGIC + hashlib.sha256(dictionary).digest())
+        self.out.write(MAGIC + digest)
         self.at = len(MAGIC) + 32
         self.ids: list = []
         self.offsets: list[int] = []
@@ -293,14 +376,16 @@ class Shard:
         self.file.close()
 
 
-def write(encoded: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, level: int = LEVEL) -> None:
+def write(
+    encoded: DataFrame, path: str, dictionary: bytes, shard_bytes: int = SHARD_BYTES,
+    level: int = LEVEL,
+) -> None:
     """Write an archive from rows of `encode`, in ascending order of their id.
 
-    `encoded` is read several times: give a written table. `path` is a folder that all executors
-    share and that Arrow can open (a local or mounted path, or a store it knows).
+    `path` is a folder that all executors share and that Arrow can open (a local or mounted
+    path, or a store it knows).
     """
     spark = encoded.sparkSession
-    dictionary = train_dictionary(encoded)
     digest = hashlib.sha256(dictionary).digest()
     spark.range(1, numPartitions=1).select(
         F.lit(digest).alias("sha256"), F.lit(dictionary).alias("dictionary")
@@ -308,12 +393,13 @@ def write(encoded: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, level:
     folder = f"{path}/shards"
     system, base = fs.FileSystem.from_uri(folder)
     system.create_dir(base, recursive=True)
-    shared = spark.sparkContext.broadcast(dictionary)
+    frames_path = work_path(spark, "frames")
+    packed = pack(encoded, dictionary, level)
+    packed.write.parquet(frames_path)
+    frames = spark.read.schema(packed.schema).parquet(frames_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dictionary, part, shard = shared.value, TaskContext.get().partitionId(), 0
-        trained = dictionary_of(dictionary)
-        compressor = zstandard.ZstdCompressor(level=level, dict_data=trained)
+        part, shard = TaskContext.get().partitionId(), 0
         writer = id_type = width = None
 
         def finish() -> pa.RecordBatch:
@@ -324,30 +410,31 @@ def write(encoded: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, level:
         for batch in batches:
             id_type = batch.schema.field("id").type
             rows = zip(
-                batch.column("id").to_pylist(), batch.column("width").to_pylist(),
-                batch.column("ids").to_pylist(), strict=True,
+                *[batch.column(n).to_pylist() for n in ("id", "width", "frame", "n_tokens")],
+                strict=True,
             )
-            for id_, size, raw in rows:
+            for id_, size, frame, n_tokens in rows:
                 if writer is not None and (
                     size != width or writer.at >= shard_bytes or len(writer.ids) >= SHARD_DOCS
                 ):
                     yield finish()
                     writer, shard = None, shard + 1
                 if writer is None:
-                    writer, width = ShardWriter(folder, dictionary), size
-                writer.add(id_, compressor.compress(raw), len(raw) // size)
+                    writer, width = ShardWriter(folder, digest), size
+                writer.add(id_, frame, n_tokens)
         if writer is not None:
             yield finish()
 
-    order = [F.col("id").isNull(), F.col("id"), F.xxhash64("ids")]
+    order = [F.col("id").isNull(), F.col("id"), F.col("place")]
     (
-        encoded.repartitionByRange(*order).sortWithinPartitions(*order)
+        frames.repartitionByRange(*order).sortWithinPartitions(*order)
         .mapInArrow(
             run,
             "part long, shard long, name string, n_docs long, n_tokens long, n_bytes long",
         )
         .write.parquet(f"{path}/manifest")
     )
+    remove_path(spark, frames_path)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -420,6 +507,8 @@ def archived(
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Encode, write and read back: the rows of `read`."""
-    encoded = stored(encode(docs, tokenizer_path, end_id, id_col, text_col), "token-ids")
-    write(encoded, path)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    some = encode(sampled(rows), tokenizer_path, end_id, "id", "text")
+    encoded = encode(rows, tokenizer_path, end_id, "id", "text")
+    write(encoded, path, train_dictionary(some))
     return read(docs.sparkSession, path, docs.schema[id_col].dataType)
