@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -121,7 +122,10 @@ def test_a_full_store_changes_nothing(monkeypatch):
 
 
 def test_groups_follow_the_common_ends():
-    found = alignment.groups_of([1, 2, 3], [7, 8, 9], {1: 2, 2: 2, 3: 1}, {7: 1, 8: 2, 9: 2})
-    assert found == [([1, 2, 3], [7, 8, 9], [(1, 7), (1, 8), (2, 8), (2, 9), (3, 9)])]
-    found = alignment.groups_of([1, 2], [7, 8], {1: 2, 2: 2}, {7: 2, 8: 2})
-    assert [g[:2] for g in found] == [([1], [7]), ([2], [8])]
+    sizes = np.array([0, 2, 2, 1, 3])
+    found = alignment.Groups(np.array([1, 2, 3]), np.array([3, 2, 1]), sizes, sizes)
+    assert found.cuts_a.tolist() == found.cuts_b.tolist() == [3]
+    assert found.links_a.tolist() == [1, 1, 2, 2, 3] and found.links_b.tolist() == [3, 2, 2, 1, 1]
+    found = alignment.Groups(np.array([1, 2, 4]), np.array([2, 1, 1, 3]), sizes, sizes)
+    assert found.cuts_a.tolist() == [1, 2, 3] and found.cuts_b.tolist() == [1, 2, 4]
+    assert found.links_a.tolist() == [1, 2, 4, 4] and found.links_b.tolist() == [2, 1, 1, 3]

@@ -47,7 +47,8 @@ def test_equal_to_the_library(spark, sf_dir, library):
 def test_odd_texts_nulls_and_clashing_names(spark, folder, library, shard_bytes):
     rows = [(None if i in (2, 9) else i // 2, t, 9, 9, b"x", 9, "n", 9) for i, t in enumerate(TEXTS)]
     encoded = archive.encode(spark.createDataFrame(rows, SCHEMA).repartition(3), VOCABULARY, 2)
-    archive.write(encoded, folder, archive.train_dictionary(encoded), shard_bytes=shard_bytes)
+    dictionary = archive.train_dictionary(encoded)
+    archive.write(archive.pack(encoded, dictionary), folder, dictionary, shard_bytes)
     got = sorted(archive.read(spark, folder).collect(), key=lambda r: r["start"])
     # In order, without gaps, nulls last.
     assert [r["start"] for r in got] == np.cumsum([0, *[r["n_tokens"] for r in got]])[:-1].tolist()
@@ -69,7 +70,8 @@ def test_empty_table(spark, folder):
 def test_one_document_without_the_others(spark, sf_dir, folder, library):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     encoded = stored(archive.encode(docs, VOCABULARY, 2), "ids")
-    archive.write(encoded, folder, archive.train_dictionary(encoded))
+    trained = archive.train_dictionary(encoded)
+    archive.write(archive.pack(encoded, trained), folder, trained)
     row = spark.read.parquet(f"{folder}/dictionary").first()
     dictionary = bytes(row["dictionary"])
     assert len(dictionary) > 1000 and bytes(row["sha256"]) == archive.hashlib.sha256(dictionary).digest()
@@ -99,7 +101,7 @@ def test_ids_wider_than_two_bytes(spark, folder):
     rows = [(1, np.array([70_000, 5], "<u4").tobytes(), 4), (2, np.array([5], "<u2").tobytes(), 2)]
     encoded = spark.createDataFrame(
         [(i, w, bytearray(b)) for i, b, w in rows], "id long, width int, ids binary")
-    archive.write(encoded, folder, b"")
+    archive.write(archive.pack(encoded, b""), folder, b"")
     got = {r["id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in archive.read(spark, folder).collect()}
     assert got == {1: [70_000, 5], 2: [5]}
 

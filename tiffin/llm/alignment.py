@@ -27,7 +27,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain, repeat
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -42,23 +42,20 @@ from tiffin.llm.token_counts import byte_letters
 
 BLANK = "▁"
 _cut = re.compile(r" (?<=\S )")
-STORE_UNITS = 700_000
+STORE_UNITS = 250_000
 STORE_VALUES = 8_000_000
 LEARN_AT_ONCE = 20_000
 CHUNK_BITS = 24
+SLICE_BYTES = 1 << 20
+CHUNK_SLICES = 8
 
 
 def expand(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int]):
-    """The pairs of overlapping tokens of one group; both sides end at the same byte."""
-    if len(ids_a) == 1:
-        first = ids_a[0]
-        return [(first, b) for b in ids_b]
-    if len(ids_b) == 1:
-        return [(a, ids_b[0]) for a in ids_a]
+    """The pairs of overlapping tokens of one slice; both sides end at the same byte."""
     links, i, j = [], 0, 0
     while i < len(ids_a) and j < len(ids_b):
         links.append((ids_a[i], ids_b[j]))
-        # Inside a group no two ends are equal but the last ones.
+        # Inside a slice no two ends are equal but the last ones.
         if ends_a[i] <= ends_b[j]:
             i += 1
         else:
@@ -66,21 +63,42 @@ def expand(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[i
     return links
 
 
-def groups_of(ids_a: list[int], ids_b: list[int], sizes_a, sizes_b):
-    """(A ids, B ids, links) of each group; `sizes` give the bytes of a token."""
-    ends_a = list(accumulate(map(sizes_a.__getitem__, ids_a)))
-    ends_b = list(accumulate(map(sizes_b.__getitem__, ids_b)))
-    # From an end to the index of the token behind it.
-    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))  # noqa: B905
-    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))  # noqa: B905
-    out, a, b = [], 0, 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        next_a, next_b = at_a[end], at_b[end]
-        part_a, part_b = ids_a[a:next_a], ids_b[b:next_b]
-        links = expand(part_a, part_b, ends_a[a:next_a], ends_b[b:next_b])
-        out.append((part_a, part_b, links))
-        a, b = next_a, next_b
-    return out
+class Groups:
+    """Two id arrays that spell the same bytes, cut into groups.
+
+    `cuts_a` and `cuts_b` say how many ids lie before the end of each group, `links_a` and
+    `links_b` hold the ids of the links, group after group, `n_links` how many each group has.
+    """
+
+    def __init__(self, ids_a, ids_b, sizes_a, sizes_b):
+        ends_a, ends_b = np.cumsum(sizes_a[ids_a]), np.cumsum(sizes_b[ids_b])
+        # From an end to the index behind its token.
+        at_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1), strict=True))
+        at_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1), strict=True))
+        common = sorted(at_a.keys() & at_b.keys())
+        self.cuts_a = np.fromiter(map(at_a.__getitem__, common), np.int64, len(common))
+        self.cuts_b = np.fromiter(map(at_b.__getitem__, common), np.int64, len(common))
+        self.n_a = np.diff(self.cuts_a, prepend=0)
+        self.n_b = np.diff(self.cuts_b, prepend=0)
+        # A slice with one token on a side links it with all of the other; so only slices with
+        # several on both need a look at where their tokens end.
+        self.n_links = self.n_a + self.n_b - 1
+        first_a, first_b = self.cuts_a - self.n_a, self.cuts_b - self.n_b
+        inner = ragged(np.zeros(len(common), np.int64), self.n_links)
+        at = np.repeat(first_a, self.n_links) + np.where(np.repeat(self.n_a > 1, self.n_links), inner, 0)
+        bt = np.repeat(first_b, self.n_links) + np.where(np.repeat(self.n_b > 1, self.n_links), inner, 0)
+        places = np.cumsum(self.n_links) - self.n_links
+        both = np.flatnonzero((self.n_a > 1) & (self.n_b > 1))
+        at[ragged(places[both], self.n_links[both])] = 0
+        bt[ragged(places[both], self.n_links[both])] = 0
+        self.links_a, self.links_b = ids_a[at], ids_b[bt]
+        for g in both.tolist():
+            a, b = slice(first_a[g], self.cuts_a[g]), slice(first_b[g], self.cuts_b[g])
+            links = expand(
+                ids_a[a].tolist(), ids_b[b].tolist(), ends_a[a].tolist(), ends_b[b].tolist()
+            )
+            place = slice(places[g], places[g] + self.n_links[g])
+            self.links_a[place], self.links_b[place] = zip(*links, strict=True)
 
 
 class Aligner:
@@ -102,10 +120,12 @@ class Aligner:
         self.a = Tokenizer.from_str(a_file.decode())
         self.a.encode_special_tokens = True
         byte_of = {letter: byte for byte, letter in enumerate(byte_letters())}
-        self.bytes_a = {
-            i: bytes(map(byte_of.__getitem__, t)) if set(t) <= byte_of.keys() else t.encode()
-            for t, i in self.a.get_vocab(with_added_tokens=True).items()
-        }
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (1 + max(vocabulary.values()))
+        for text, i in vocabulary.items():
+            self.bytes_a[i] = (
+                bytes(map(byte_of.__getitem__, text)) if set(text) <= byte_of.keys() else text.encode()
+            )
         self.b = SentencePieceProcessor(model_proto=b_file)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(
@@ -119,9 +139,13 @@ class Aligner:
             bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.sizes_a = {i: len(t) for i, t in self.bytes_a.items()}
-        self.sizes_b = list(map(len, self.bytes_b))
-        self.spelled = list(map(str, range(max(len(self.bytes_b), 1 + max(self.bytes_a)))))
+        self.sizes_a = np.fromiter(map(len, self.bytes_a), np.int64)
+        self.sizes_b = np.fromiter(map(len, self.bytes_b), np.int64)
+        # An id with what follows it in the text form: A inside and at the end of a group, B
+        # inside, at the end of a group and at the end of a unit.
+        many_a, many_b = len(self.bytes_a), len(self.bytes_b)
+        self.spelled = [f"{i}{mark}" for mark in ",|" for i in range(many_a)]
+        self.spelled += [f"{i}{mark}" for mark in (",", ";", "") for i in range(many_b)]
         self.lone_blank = self.b.piece_to_id(BLANK)
         self._clear()
 
@@ -134,45 +158,58 @@ class Aligner:
         self.starts = np.zeros(0, np.int64)
         self.counts = np.zeros((0, 5), np.int64)  # A ids, B ids, groups, links, faults
 
+    def _spells(self, units: list[str], forms: list[list[int]], spelled: list[bytes]) -> np.ndarray:
+        """Which of the units, with a blank before each, their ids spell out exactly."""
+        return np.array([
+            b"".join(map(spelled.__getitem__, ids)) == (" " + unit).encode()
+            for unit, ids in zip(units, forms, strict=True)
+        ], bool)
+
     def _learn(self, units: list[str]) -> None:
         """Align and hold new units, some thousands at once: the library's forms are large."""
-        many_a = self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
-        many_b = self.b.encode(units, num_threads=1)
-        counts, links = [], []
-        spelled, numbered = self.spelled, self.pair_index.setdefault
-        for unit, coded, ids_b in zip(units, many_a, many_b, strict=True):
-            ids_a = coded.ids
+        forms_a = [
+            e.ids
+            for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
+        ]
+        forms_b = self.b.encode(units, num_threads=1)
+        if "" in units:
             # Alone, an empty text has no tokens; after another unit it is a blank.
-            ids_b = ids_b if unit else [self.lone_blank]
-            raw = (" " + unit).encode()
-            if (
-                b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw
-                or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw
-            ):
-                self.texts.append("")
-                counts.append((0, 0, 0, 0, 1))
-                continue
-            groups = groups_of(ids_a, ids_b, self.sizes_a, self.sizes_b)
-            self.texts.append(
-                ";".join(
-                    [
-                        ",".join([spelled[i] for i in a]) + "|" + ",".join([spelled[i] for i in b])
-                        for a, b, _ in groups
-                    ]
-                )
-            )
-            before = len(links)
-            for _, _, found in groups:
-                for a, b in found:
-                    links.append(numbered(a << 32 | b, len(self.pair_index)))
-            counts.append((len(ids_a), len(ids_b), len(groups), len(links) - before, 0))
+            forms_b[units.index("")] = [self.lone_blank]
+        good = self._spells(units, forms_a, self.bytes_a) & self._spells(units, forms_b, self.bytes_b)
+        if not good.all():
+            for i in np.flatnonzero(~good).tolist():
+                forms_a[i] = forms_b[i] = []
+        sizes_a = np.fromiter(map(len, forms_a), np.int64, len(units))
+        sizes_b = np.fromiter(map(len, forms_b), np.int64, len(units))
+        ids_a = np.fromiter(chain.from_iterable(forms_a), np.int64, int(sizes_a.sum()))
+        ids_b = np.fromiter(chain.from_iterable(forms_b), np.int64, int(sizes_b.sum()))
+        # All units lie one after the other: both sides end where a unit ends.
+        groups = Groups(ids_a, ids_b, self.sizes_a, self.sizes_b)
+        last = np.searchsorted(groups.cuts_a, np.cumsum(sizes_a), side="right")
+        n_groups = np.diff(last, prepend=0)
+        n_links = np.diff(np.concatenate(([0], np.cumsum(groups.n_links)))[last], prepend=0)
+
+        codes = np.zeros(len(ids_a) + len(ids_b), np.int64)
+        of_a, of_b = ids_a.copy(), ids_b + 2 * len(self.bytes_a)
+        of_a[groups.cuts_a - 1] += len(self.bytes_a)
+        of_b[groups.cuts_b - 1] += len(self.bytes_b)
+        of_b[(np.cumsum(sizes_b) - 1)[good]] += len(self.bytes_b)
+        codes[np.arange(len(ids_a)) + np.repeat(groups.cuts_b - groups.n_b, groups.n_a)] = of_a
+        codes[np.arange(len(ids_b)) + np.repeat(groups.cuts_a, groups.n_b)] = of_b
+        parts = list(map(self.spelled.__getitem__, codes.tolist()))
+        ends = np.cumsum(sizes_a + sizes_b).tolist()
+        self.texts.extend("".join(parts[lo:hi]) for lo, hi in zip([0, *ends], ends, strict=False))
+
+        keys, numbers = np.unique(groups.links_a << 32 | groups.links_b, return_inverse=True)
+        known = [self.pair_index.setdefault(k, len(self.pair_index)) for k in keys.tolist()]
+        links = np.array(known, np.int32)[numbers]
         begin = len(self.index)
         self.index.update(zip(units, range(begin, begin + len(units)), strict=True))
-        new = np.array(counts, np.int64)
-        ends = np.cumsum(new[:, 3]) + len(self.links)
-        self.starts = np.concatenate((self.starts, ends - new[:, 3]))
-        self.counts = np.concatenate((self.counts, new))
-        self.links = np.concatenate((self.links, np.array(links, np.int32)))
+        self.starts = np.concatenate((self.starts, np.cumsum(n_links) - n_links + len(self.links)))
+        self.counts = np.concatenate(
+            (self.counts, np.stack((sizes_a, sizes_b, n_groups, n_links, ~good), axis=1))
+        )
+        self.links = np.concatenate((self.links, links))
 
     def align(self, texts: list[str]):
         """Per text: counts (A ids, B ids, groups, links), the groups as text, and the distinct
@@ -247,8 +284,9 @@ def align(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = aligner_of(*files.value)
         task = TaskContext.get()
-        chunk = (task.partitionId() if task else 0) << CHUNK_BITS
-        for batch in slices(batches, "text"):
+        first = (task.partitionId() if task else 0) << CHUNK_BITS
+        for place, batch in enumerate(slices(batches, "text", SLICE_BYTES)):
+            chunk = first + place // CHUNK_SLICES
             found = aligner.align([t or "" for t in batch.column("text").to_pylist()])
             counts, groups, pairs, times, per_text = found
             offsets = np.concatenate(([0], np.cumsum(per_text))).astype(np.int32)
@@ -263,7 +301,6 @@ def align(
                 ],
                 [f.name for f in fields],
             )
-            chunk += 1
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, T.StructType(fields)

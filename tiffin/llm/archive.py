@@ -56,9 +56,10 @@ DICTIONARY_BYTES = 64 << 10
 SHARD_BYTES = 64 << 20
 SHARD_DOCS = 1 << 20
 LEVEL = 3
-STORE_WORDS = 1_000_000
+STORE_WORDS = 800_000
 STORE_IDS = 8_000_000
 LEARN_AT_ONCE = 20_000
+SLICE_BYTES = 2 << 20
 READERS = 20_000
 BATCH_IDS = 1 << 21
 # Latin letters between ASCII marks other than the apostrophe: the tokenizer parts them too.
@@ -174,23 +175,15 @@ def encoder_of(data: bytes) -> WordEncoder:
     return _encoders[data]
 
 
-def encode(
-    docs: DataFrame, tokenizer_path: str, end_id: int | None = None, id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """(id, width, ids): the little-endian ids of each row, `end_id` after each document."""
+def _encoding(spark: SparkSession, tokenizer_path: str, end_id: int | None):
+    """The step from (id, text) to (id, width, ids)."""
     # The file is of fixed size, about two megabytes.
-    data = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_bytes())
-    fields = [
-        T.StructField("id", docs.schema[id_col].dataType),
-        T.StructField("width", T.IntegerType(), False),
-        T.StructField("ids", T.BinaryType(), False),
-    ]
+    data = spark.sparkContext.broadcast(Path(tokenizer_path).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(data.value)
         width = encoder.width if end_id is None or end_id < 1 << 16 else 4
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             ids, sizes = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
             if end_id is not None:
                 out = np.full(len(ids) + len(sizes), end_id, np.uint32)
@@ -205,11 +198,78 @@ def encode(
                     batch.column("id"), pa.array(np.full(len(sizes), width, np.int32)),
                     pa.array(column, pa.binary()),
                 ],
-                [f.name for f in fields],
+                ["id", "width", "ids"],
+            )
+
+    return run
+
+
+def _packing(spark: SparkSession, dictionary: bytes, level: int):
+    """The step from (id, width, ids) to (id, width, n_tokens, place, frame)."""
+    # At most DICTIONARY_BYTES.
+    shared = spark.sparkContext.broadcast(dictionary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=level, dict_data=dictionary_of(shared.value))
+        for batch in batches:
+            raw = batch.column("ids").to_pylist()
+            widths = np.asarray(batch.column("width")).astype(np.int64)
+            sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // widths
+            places = np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"), batch.column("width"), pa.array(sizes),
+                    pa.array(places.view(np.int64)),
+                    pa.array(list(map(compressor.compress, raw)), pa.binary()),
+                ],
+                ["id", "width", "n_tokens", "place", "frame"],
             )
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, T.StructType(fields)
+    return run
+
+
+def _schema(id_type: T.DataType, packed: bool) -> T.StructType:
+    fields = [T.StructField("id", id_type), T.StructField("width", T.IntegerType(), False)]
+    if packed:
+        fields += [T.StructField(n, T.LongType(), False) for n in ("n_tokens", "place")]
+    return T.StructType(
+        [*fields, T.StructField("frame" if packed else "ids", T.BinaryType(), False)]
+    )
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+
+def encode(
+    docs: DataFrame, tokenizer_path: str, end_id: int | None = None, id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """(id, width, ids): the little-endian ids of each row, `end_id` after each document."""
+    return _texts(docs, id_col, text_col).mapInArrow(
+        _encoding(docs.sparkSession, tokenizer_path, end_id),
+        _schema(docs.schema[id_col].dataType, False),
+    )
+
+
+def pack(encoded: DataFrame, dictionary: bytes, level: int = LEVEL) -> DataFrame:
+    """(id, width, n_tokens, place, frame): the ids of each row as one zstandard frame, and a
+    hash of them that orders rows of one id."""
+    return encoded.select("id", "width", "ids").mapInArrow(
+        _packing(encoded.sparkSession, dictionary, level),
+        _schema(encoded.schema["id"].dataType, True),
+    )
+
+
+def encode_packed(
+    docs: DataFrame, tokenizer_path: str, dictionary: bytes, end_id: int | None = None,
+    id_col: str = "doc_id", text_col: str = "text", level: int = LEVEL,
+) -> DataFrame:
+    """`pack` of `encode` in one Python process a task."""
+    first = _encoding(docs.sparkSession, tokenizer_path, end_id)
+    then = _packing(docs.sparkSession, dictionary, level)
+    return _texts(docs, id_col, text_col).mapInArrow(
+        lambda batches: then(first(batches)), _schema(docs.schema[id_col].dataType, True)
     )
 
 
@@ -250,38 +310,6 @@ def train_dictionary(
     return bytes(row["dictionary"]) if row else b""
 
 
-def pack(encoded: DataFrame, dictionary: bytes, level: int = LEVEL) -> DataFrame:
-    """(id, width, n_tokens, place, frame): the ids of each row as one zstandard frame, and a
-    hash of them that orders rows of one id."""
-    # At most DICTIONARY_BYTES.
-    shared = encoded.sparkSession.sparkContext.broadcast(dictionary)
-    fields = [
-        T.StructField("id", encoded.schema["id"].dataType),
-        T.StructField("width", T.IntegerType(), False),
-        T.StructField("n_tokens", T.LongType(), False),
-        T.StructField("place", T.LongType(), False),
-        T.StructField("frame", T.BinaryType(), False),
-    ]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = zstandard.ZstdCompressor(level=level, dict_data=dictionary_of(shared.value))
-        for batch in batches:
-            raw = batch.column("ids").to_pylist()
-            widths = np.asarray(batch.column("width")).astype(np.int64)
-            sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // widths
-            places = np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, len(raw))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"), batch.column("width"), pa.array(sizes),
-                    pa.array(places.view(np.int64)),
-                    pa.array(list(map(compressor.compress, raw)), pa.binary()),
-                ],
-                [f.name for f in fields],
-            )
-
-    return encoded.select("id", "width", "ids").mapInArrow(run, T.StructType(fields))
-
-
 def dictionary_of(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
@@ -377,15 +405,14 @@ class Shard:
 
 
 def write(
-    encoded: DataFrame, path: str, dictionary: bytes, shard_bytes: int = SHARD_BYTES,
-    level: int = LEVEL,
+    packed: DataFrame, path: str, dictionary: bytes, shard_bytes: int = SHARD_BYTES
 ) -> None:
-    """Write an archive from rows of `encode`, in ascending order of their id.
+    """Write an archive from rows of `pack`, in ascending order of their id.
 
     `path` is a folder that all executors share and that Arrow can open (a local or mounted
     path, or a store it knows).
     """
-    spark = encoded.sparkSession
+    spark = packed.sparkSession
     digest = hashlib.sha256(dictionary).digest()
     spark.range(1, numPartitions=1).select(
         F.lit(digest).alias("sha256"), F.lit(dictionary).alias("dictionary")
@@ -394,7 +421,6 @@ def write(
     system, base = fs.FileSystem.from_uri(folder)
     system.create_dir(base, recursive=True)
     frames_path = work_path(spark, "frames")
-    packed = pack(encoded, dictionary, level)
     packed.write.parquet(frames_path)
     frames = spark.read.schema(packed.schema).parquet(frames_path)
 
@@ -507,8 +533,7 @@ def archived(
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Encode, write and read back: the rows of `read`."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    some = encode(sampled(rows), tokenizer_path, end_id, "id", "text")
-    encoded = encode(rows, tokenizer_path, end_id, "id", "text")
-    write(encoded, path, train_dictionary(some))
+    some = sampled(_texts(docs, id_col, text_col))
+    dictionary = train_dictionary(encode(some, tokenizer_path, end_id, "id", "text"))
+    write(encode_packed(docs, tokenizer_path, dictionary, end_id, id_col, text_col), path, dictionary)
     return read(docs.sparkSession, path, docs.schema[id_col].dataType)

@@ -34,15 +34,17 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of one piece stay near BATCH_BYTES; rows stay whole."""
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of one piece stay near `limit` bytes; rows stay whole."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = np.asarray(
             pc.fill_null(pc.binary_length(batch.column(column)), 0)
         ).astype(np.int64)
-        block = np.cumsum(sizes) // BATCH_BYTES
+        block = np.cumsum(sizes) // limit
         cuts = np.flatnonzero(np.diff(block)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(lo, hi - lo)
