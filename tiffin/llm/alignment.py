@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from tiffin.llm.common import ragged, slices, stored
 from tiffin.llm.token_counts import byte_letters
+from tiffin.llm.units import model_ids
 
 BLANK = "▁"
 _cut = re.compile(r" (?<=\S )")
@@ -167,10 +168,12 @@ class Aligner:
 
     def _learn(self, units: list[str]) -> None:
         """Align and hold new units, some thousands at once: the library's forms are large."""
-        forms_a = [
-            e.ids
-            for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
-        ]
+        spaced = [" " + u for u in units]
+        forms_a = model_ids(self.a.model, spaced)
+        others = [i for i, form in enumerate(forms_a) if form is None]
+        coded = self.a.encode_batch_fast([spaced[i] for i in others], add_special_tokens=False)
+        for i, form in zip(others, coded, strict=True):
+            forms_a[i] = form.ids
         forms_b = self.b.encode(units, num_threads=1)
         if "" in units:
             # Alone, an empty text has no tokens; after another unit it is a blank.

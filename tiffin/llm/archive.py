@@ -47,6 +47,7 @@ from pyspark.sql import types as T
 
 from tiffin.llm.common import ragged, slices
 from tiffin.llm.token_counts import _blanks, _separators
+from tiffin.llm.units import LATIN, model_ids
 from tiffin.session import remove_path, work_path
 
 MAGIC = b"TIFFTOK1"
@@ -63,9 +64,8 @@ SLICE_BYTES = 2 << 20
 READERS = 20_000
 BATCH_IDS = 1 << 21
 # Latin letters between ASCII marks other than the apostrophe: the tokenizer parts them too.
-_marked = re.compile(
-    r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)"
-)
+_marks = r"[!-&(-/:-@\[-`{-~]*"
+_marked = re.compile(f"({_marks})([{LATIN}]+)({_marks})")
 
 
 class WordEncoder:
@@ -85,7 +85,8 @@ class WordEncoder:
         if (
             [n["type"] for n in spec["normalizer"]["normalizers"]] != ["NFC", "Replace", "Lowercase"]
             or steps[0]["type"] != "Split" or not steps[0]["invert"]
-            or steps[0]["behavior"] != "Removed" or spec["truncation"] or spec["padding"]
+            or steps[0]["behavior"] != "Removed" or steps[1]["type"] != "ByteLevel"
+            or steps[1]["add_prefix_space"] or spec["truncation"] or spec["padding"]
             or any(
                 t["lstrip"] or t["rstrip"] or t["normalized"] or len(t["content"].split()) != 1
                 for t in spec["added_tokens"]
@@ -98,6 +99,7 @@ class WordEncoder:
         if self.mark.lower() != self.mark.upper():
             self.mark = ""
         self.library = Tokenizer.from_str(data.decode())
+        self.model = self.library.model
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._clear()
 
@@ -134,9 +136,14 @@ class WordEncoder:
         whole = list(fresh)
         for at in range(0, len(whole), LEARN_AT_ONCE):
             some = whole[at : at + LEARN_AT_ONCE]
-            forms = [
-                e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)
-            ]
+            # Lower case is all that the normaliser makes of Latin letters, one by one.
+            forms = model_ids(self.model, [w if w.islower() else w.lower() for w in some])
+            others = [i for i, form in enumerate(forms) if form is None]
+            coded = self.library.encode_batch_fast(
+                [some[i] for i in others], add_special_tokens=False
+            )
+            for i, form in zip(others, coded, strict=True):
+                forms[i] = form.ids
             sizes = np.fromiter(map(len, forms), np.int64, len(forms))
             flat = np.fromiter(chain.from_iterable(forms), np.uint32, int(sizes.sum()))
             self._hold(some, flat, sizes)
