@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from tiffin.llm.common import slices, stored
 from tiffin.llm.quotient_filter import CountingQuotientFilter
+from tiffin.llm.routing import may_match
 
 BLOCK_BITS = 9
 # A fingerprint is hot if it has more than one in HOT_SHARE of all rows: at most HOT_SHARE are.
@@ -123,7 +124,10 @@ def exact_duplicates(
         "fp", F.lit(HOT_SALTS).alias("salts")
     )
     salts = F.coalesce(F.col("salts"), F.lit(1))
-    texts = _digests(docs, id_col, text_col, True)
+    # Only texts whose fingerprint repeats leave the task that reads them.
+    texts = may_match(
+        _digests(docs, id_col, text_col, True), F.col("fp"), repeated.select("fp"), "repeats"
+    ).where("repeats").drop("repeats")
     texts = texts.join(F.broadcast(hot), "fp", "left").withColumn(
         "salt", F.pmod(F.xxhash64("id"), salts).cast("int")
     )

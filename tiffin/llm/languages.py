@@ -196,8 +196,8 @@ def train(
     rows = sample(labelled, max_rows).mapInArrow(run, "lang string, x binary")
     # A fixed order, so that sums come out alike in every run.
     ordered = rows.repartition(1).sortWithinPartitions("lang", "x")
-    fitted = ordered.mapInArrow(fit, "model binary").collect()
-    return pickle.loads(fitted[0][0]) if fitted else None
+    fitted = ordered.mapInArrow(fit, "model binary").first()
+    return pickle.loads(fitted[0]) if fitted else None
 
 
 def identify(

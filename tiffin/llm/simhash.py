@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiffin.llm.common import mixed, ragged, slices, stored
+from tiffin.llm.routing import may_match
 from tiffin.llm.components import components
 
 SEED = 42
@@ -352,7 +353,7 @@ def shingle_sets(
     `docs` has id and text.
     """
     nodes = matches.select(F.col("x").alias("number")).union(matches.select("y"))
-    wanted = distinct.join(nodes.distinct(), "number", "left_semi")
+    wanted = stored(distinct.join(nodes.distinct(), "number", "left_semi"), "simhash-wanted")
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -372,7 +373,9 @@ def shingle_sets(
                 ["number", "shingles"],
             )
 
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("least"))).select(
+    # Only texts with a match leave the task that reads them.
+    read = may_match(docs, F.col("id"), wanted.select("least"), "matched").where("matched")
+    texts = read.join(wanted, F.col("id").eqNullSafe(F.col("least"))).select(
         "number", "text", *index.columns
     )
     return texts.mapInArrow(shingles, "number long, shingles array<long>").dropDuplicates(
