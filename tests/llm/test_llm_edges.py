@@ -123,6 +123,26 @@ def test_search_with_odd_vectors(spark):
     assert len(got[400]) == 20
 
 
+@pytest.mark.parametrize("size", [2000.0, 1e6, 2.0**40, 1e30, 1e200])
+def test_search_with_large_components(spark, size):
+    chance = np.random.default_rng(6)
+    rows = [(i, chance.normal(size=4).tolist()) for i in range(40)]
+    rows += [(100, [size, 0.0, -size / 3, 1.0]), (101, [size, 1.0, 0.0, 0.0]), (102, [-size, 5.0, 0.0, 2.0]),
+             (200, [1e6, 0.0, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in inner_search.top_k(frame, F.col("id") % 100 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["id"], r["score"]))
+    whole = {i: [int(np.floor(x * 1024)) for x in v] for i, v in rows}
+    assert sorted(got) == [0, 100, 200]
+    for query in got:
+        scores = sorted((-sum(a * b for a, b in zip(whole[query], v, strict=True)), i)
+                        for i, v in whole.items() if i != query)[:10]
+        want = [(n + 1, i, -s if -s < 1 << 63 and -s >= -(1 << 63) else None)
+                for n, (s, i) in enumerate(scores)]
+        assert sorted(got[query]) == want
+
+
 def test_search_without_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert inner_search.top_k(empty, F.col("id") % 100 == 0).count() == 0
