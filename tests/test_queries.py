@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle import compare, connect
+from tiffin.catalog import ORACLES, QUERIES
 
 WITHOUT_SQL = {"gbt_train", "score_batch", "model_save_load", "tune_grid", "stream_score_plain"}
 
@@ -28,7 +29,7 @@ def test_query_without_sql_has_rows(spark, sf_dir, name):
 
 
 def test_only_the_listed_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
     assert set(oracle_sql()) <= set(queries())
 
 
