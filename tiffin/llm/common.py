@@ -15,6 +15,7 @@ from tiffin.session import work_path
 # Words are runs of anything but the six ASCII blanks; in Python `bytes.split()` gives the same.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 8 << 20
+ARROW_ROWS = "1000"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -29,6 +30,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of some megabytes: both sides hold a batch as a whole, and
+    the default of 10,000 rows is tens of megabytes of text for each task and direction."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tiffin.llm import alignment, anchors, archive, clustering, exact, inner_search, languages
 from tiffin.llm import mixing, pieces, simhash, suffixes, token_counts, urls
-from tiffin.llm.common import documents, stored
+from tiffin.llm.common import documents, small_batches, stored
 from tiffin.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,6 +288,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op11_token_alignment")
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     aligned = alignment.align(
         documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"),
@@ -349,6 +350,7 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op13_token_archive")
 def op13_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     rows = archive.archived(
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
         work_path(spark, "token-archive"), end_id=2,
