@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiffin.catalog.models import KEYS, training_rows
+from tiffin.operators.matching import response_within_timeout
 from tiffin.plans import training
 from tiffin.session import stream_session
 from tiffin.sources.messages import decode_requests, request_source
-from tiffin.streaming import dedup, scoring, sinks, waiting
+from tiffin.streaming import dedup, ledger, scoring, sinks, waiting
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -283,3 +284,120 @@ def test_scoring_job_end_to_end(spark, model, folder):
     assert spark.read.json(f"{folder}/out/documents").count() == 2
     assert spark.read.json(f"{folder}/out/rejects").count() == 4
     assert spark.read.json(f"{folder}/out/messages").select(F.input_file_name()).distinct().count() == 1
+
+
+def test_two_answers_of_one_id_out_of_order_equal_the_batch_form(spark, session, folder):
+    requests, responses = "UUID string, req_ts timestamp", "UUID string, resp_ts timestamp, prediction double"
+    asks = [("x", 0), ("x", 100), ("x", 100), ("y", 5), (None, 6), (None, 6), ("w", 200), ("v", 59), ("v", 61)]
+    answers = [("x", 130, 2.0), ("x", 20, 1.0), ("x", 20, 0.5), ("x", 40, 7.0), ("y", 70, 3.0), ("z", 1, 9.0),
+               ("w", 190, 4.0), ("w", 255, 5.0), ("v", 60, 6.0), ("v", 121, None), (None, 7, 1.0)]
+    end = 100_000
+
+    def frame(rows, schema):
+        return spark.createDataFrame([(k, DAY + dt.timedelta(seconds=s), *rest) for k, s, *rest in rows], schema)
+
+    for portion in range(4):
+        last = portion == 3
+        asked = [("end", end)] if last else asks[portion::3]
+        answered = [("end", end, 0.0)] if last else answers[2 - portion :: 3]
+        frame(asked, requests).write.mode("append").parquet(f"{folder}/asked")
+        frame(answered, responses).write.mode("append").parquet(f"{folder}/answers")
+        told = waiting.await_responses(
+            session.readStream.schema(requests).parquet(f"{folder}/asked"),
+            session.readStream.schema(responses).parquet(f"{folder}/answers"),
+            prompt=False,
+        )
+        query = run(told, f"{folder}/out", f"{folder}/checkpoint")
+    got = sorted(map(str, spark.read.parquet(f"{folder}/out").collect()))
+    batch = response_within_timeout(frame(asks, requests), frame(answers, responses))
+    known = batch.where("key IS NOT NULL").distinct().unionByName(batch.where("key IS NULL"))
+    assert got == sorted(map(str, known.collect()))
+    # All that is left are the two rows of the last portion.
+    assert state_rows(query) <= 6
+
+
+def test_untimed_copies_are_dropped_until_their_mark_expires(spark, session, folder):
+    schema = "UUID string, order_date_and_time timestamp, value long"
+
+    def go(rows, hold):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = dedup.with_late_limit(session.readStream.schema(schema).parquet(f"{folder}/in"))
+        return run(dedup.dedup_requests(stream, hold_seconds=hold), f"{folder}/out", f"{folder}/checkpoint")
+
+    later = DAY + dt.timedelta(hours=9)
+    go([("a", None, 1), ("a", None, 2), ("b", DAY, 3)], 3600)
+    go([("a", None, 4), ("c", None, 5)], 3600)
+    got = sorted(r["UUID"] for r in spark.read.parquet(f"{folder}/out").collect())
+    assert got == ["a", "b", "c"]
+    query = go([("d", later, 6)], 3600)
+    assert min(s["numRowsTotal"] for s in query.recentProgress[-1]["stateOperators"]) <= 1
+    go([("a", None, 7)], 3600)
+    got = sorted(r["UUID"] for r in spark.read.parquet(f"{folder}/out").collect())
+    assert got == ["a", "a", "b", "c", "d"]
+
+
+def test_untimed_copies_reduced_in_several_tasks(spark, session, folder):
+    schema = "UUID string, order_date_and_time timestamp"
+    rows = [(f"u{i % 3}", None) for i in range(60)]
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(f"{folder}/in")
+    stream = dedup.with_late_limit(session.readStream.schema(schema).parquet(f"{folder}/in"))
+    run(dedup.dedup_requests(stream, spread=3), f"{folder}/out", f"{folder}/checkpoint")
+    assert sorted(r["UUID"] for r in spark.read.parquet(f"{folder}/out").collect()) == ["u0", "u1", "u2"]
+
+
+def test_late_rows_are_written_once_after_a_restart(spark, folder):
+    def writer(path):
+        return lambda df, epoch: df.write.mode("overwrite").parquet(f"{path}/batch_id={epoch}")
+
+    split = ledger.late_splitter(
+        dt.timedelta(hours=1), writer(f"{folder}/on-time"), writer(f"{folder}/late"), f"{folder}/reached")
+    schema = "UUID string, order_date_and_time timestamp"
+    batches = [
+        [("a", DAY + dt.timedelta(hours=5)), ("b", DAY)], [("c", DAY + dt.timedelta(hours=4)), ("n", None)],
+        [("d", DAY + dt.timedelta(hours=4, seconds=1)), ("e", DAY)],
+    ]
+    for epoch in (0, 1, 1, 2, 1, 2):
+        split(spark.createDataFrame(batches[epoch], schema), epoch)
+    assert sorted(r[0] for r in spark.read.parquet(f"{folder}/late").select("UUID").collect()) == ["c", "e"]
+    on_time = sorted(r[0] for r in spark.read.parquet(f"{folder}/on-time").select("UUID").collect())
+    assert on_time == ["a", "b", "d", "n"]
+
+
+def test_the_ledger_keeps_every_batch_once(spark, folder):
+    counted = ledger.BatchLedger(spark, f"{folder}/batches")
+    assert counted.counts().count() == 0
+    for epoch, n in ((0, 5), (1, 6), (1, 7)):
+        counted.add(epoch, {"rows_in": n, "rows_scored": n, "rows_rejected": 0})
+    assert {(r["batch_id"], r["rows_in"]) for r in counted.counts().collect()} == {(0, 5), (1, 7)}
+
+
+def test_a_committed_batch_is_not_written_again(spark, model, folder):
+    from tiffin.sources.messages import decode_with_source
+
+    written = []
+    process = scoring.batch_scorer(
+        model, [sinks.Sink("any", lambda df, epoch: written.append(epoch))], f"{folder}/errors",
+        commits=f"{folder}/commits")
+    batch = decode_with_source(spark.createDataFrame(MIXED[:1], "key string, value string"))
+    for epoch in (0, 0, 1):
+        process(batch.withColumn("rejected", F.lit(False)), epoch)
+    assert written == [0, 1]
+
+
+def test_failed_rows_wait_for_replay(spark, folder):
+    df = spark.createDataFrame([("a", 1.0)], "UUID string, prediction double")
+    good = sinks.document_sink(f"{folder}/documents")
+
+    def broken(df, epoch):
+        raise OSError("down")
+
+    paths = (f"{folder}/held", f"{folder}/errors")
+    for _ in range(2):
+        sinks.fan_out(df, 3, [sinks.Sink("a sink", broken, "continue")], paths[1], paths[0])
+    assert sinks.failures(spark, paths[1]).count() == 1
+    assert sinks.replay(spark, *paths, [sinks.Sink("a sink", broken)]) == {}
+    assert sinks.failures(spark, paths[1]).count() == 1
+    assert sinks.replay(spark, *paths, [sinks.Sink("a sink", good)]) == {"a sink": [3]}
+    assert spark.read.json(f"{folder}/documents").count() == 1
+    assert sinks.failures(spark, paths[1]).count() == 0
+    assert sinks.replay(spark, *paths, [sinks.Sink("a sink", good)]) == {}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from tiffin.operators import columns, documents
 from tiffin.session import stream_session, work_path
 from tiffin.sources import fixtures
 from tiffin.sources.messages import decode_requests, decode_with_source, request_source
-from tiffin.streaming import dedup, scoring, sinks, waiting
+from tiffin.streaming import dedup, ledger, scoring, sinks, waiting
 
 
 def _event_stream(session: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +198,66 @@ def late_rows(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(out)
 
 
+@query(
+    "late_rows_output",
+    sql("resent", f"""
+, arrivals AS (SELECT *, CASE WHEN attempt = 1 THEN {_THIRD} ELSE (event_id // 8) % {_THIRD} END AS arrival FROM resent),
+limits AS (
+  SELECT a.arrival, max(b.order_date_and_time) - to_hours(1) AS watermark
+  FROM (SELECT DISTINCT arrival FROM arrivals) a LEFT JOIN arrivals b ON b.arrival < a.arrival GROUP BY 1)
+SELECT "UUID", attempt, order_date_and_time, coalesce(order_date_and_time <= watermark, false) AS late
+FROM arrivals JOIN limits USING (arrival)"""),
+)
+def late_rows_output(spark, sf_dir):
+    """The same portions, with the rows behind the limit written beside the others."""
+    folder, checkpoint = work_path(spark, "portions"), work_path(spark, "split-checkpoint")
+    paths = {late: work_path(spark, f"late-{late}") for late in (False, True)}
+    number = fixtures.event_number(F.col("UUID"))
+    third = F.pmod(F.floor(number / 8), F.lit(_THIRD))
+    rows = fixtures.requests_resent(spark, sf_dir).select("UUID", "attempt", "order_date_and_time")
+    arrival = F.when(F.col("attempt") == 1, _THIRD).otherwise(third)
+    session = stream_session(spark)
+    split = ledger.late_splitter(
+        dt.timedelta(hours=1), _parquet_sink(paths[False]), _parquet_sink(paths[True]),
+        work_path(spark, "reached"),
+    )
+    for portion in range(_THIRD + 1):
+        rows.where(arrival == portion).write.mode("append").parquet(folder)
+        stream = session.readStream.schema(rows.schema).parquet(folder)
+        (
+            stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(split)
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    parts = [
+        spark.read.schema(rows.schema).parquet(path).select(*rows.columns, F.lit(late).alias("late"))
+        for late, path in paths.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "dedup_untimed",
+    sql("requests", 'SELECT "UUID", event_id % 5 = 0 AS untimed FROM requests'),
+)
+def dedup_untimed(spark, sf_dir):
+    """Every request comes again in a later run; a fifth of them has no order time."""
+    folder = work_path(spark, "resent")
+    out, checkpoint = work_path(spark, "once"), work_path(spark, "once-checkpoint")
+    bare = F.pmod(fixtures.event_number(F.col("UUID")), F.lit(5)) == 0
+    rows = fixtures.requests(spark, sf_dir).select(
+        "UUID", F.when(~bare, F.col("order_date_and_time")).alias("order_date_and_time")
+    )
+    session = stream_session(spark)
+    for _ in range(2):
+        rows.write.mode("append").parquet(folder)
+        stream = dedup.with_late_limit(session.readStream.schema(rows.schema).parquet(folder))
+        once = dedup.dedup_requests(stream).select(
+            "UUID", F.col("order_date_and_time").isNull().alias("untimed")
+        )
+        _run(once, out, checkpoint)
+    return spark.read.schema(once.schema).parquet(out)
+
+
 @query(
     "await_responses",
     sql("responses", """
@@ -215,22 +278,78 @@ def await_responses(spark, sf_dir):
     return _collected(spark, waiting.await_responses(requests, responses), "awaited")
 
 
+_ANSWERS = """
+, answers AS (
+  SELECT "UUID", prediction, resp_ts FROM responses
+  UNION ALL SELECT "UUID", prediction + 1, resp_ts + to_minutes(10) FROM responses
+  WHERE CAST(substr("UUID", 2) AS BIGINT) % 10 = 0)"""
+
+
+@query(
+    "await_repeated_responses",
+    sql("resent_responses", f"""{_ANSWERS}
+SELECT r."UUID" AS key, r.order_date_and_time AS req_ts,
+  CASE WHEN count(s."UUID") > 0 THEN 'ok' ELSE 'queued' END AS status, arg_min(s.prediction, s.resp_ts) AS prediction
+FROM resent r LEFT JOIN answers s
+  ON r."UUID" = s."UUID" AND s.resp_ts BETWEEN r.order_date_and_time AND r.order_date_and_time + to_seconds(60)
+GROUP BY r."UUID", r.order_date_and_time"""),
+)
+def await_repeated_responses(spark, sf_dir):
+    """Two requests and two answers of one id, all out of order: answers come in three portions,
+    the last ones first, and half of the requests come after their answers.
+
+    The limit for late rows covers the whole table, and a last row far ahead ends every wait.
+    """
+    asked_at, answered_at = work_path(spark, "asked"), work_path(spark, "answered")
+    out, checkpoint = work_path(spark, "told"), work_path(spark, "told-checkpoint")
+    number = fixtures.event_number(F.col("UUID"))
+    asked = fixtures.requests_resent(spark, sf_dir).select(
+        "UUID", F.col("order_date_and_time").alias("req_ts")
+    )
+    answered = fixtures.responses_resent(spark, sf_dir).select("UUID", "resp_ts", "prediction")
+    asked_portion = F.pmod(number, F.lit(2)) * 2
+    answered_portion = F.lit(2) - F.pmod(number + F.minute("resp_ts"), F.lit(3))
+    ahead = F.timestamp_add("YEAR", F.lit(60), F.lit("2024-01-01").cast("timestamp"))
+    session = stream_session(spark)
+    for portion in range(4):
+        last = portion == 3
+        asks = asked.where(asked_portion == portion)
+        answers = answered.where(answered_portion == portion)
+        if last:
+            end = spark.range(1).select(F.lit("end").alias("UUID"), ahead.alias("req_ts"))
+            asks = end
+            answers = end.select("UUID", F.col("req_ts").alias("resp_ts"), F.lit(0.0).alias("prediction"))
+        asks.write.mode("append").parquet(asked_at)
+        answers.write.mode("append").parquet(answered_at)
+        told = waiting.await_responses(
+            session.readStream.schema(asked.schema).parquet(asked_at),
+            session.readStream.schema(answered.schema).parquet(answered_at),
+            late_limit="10000 days",
+            prompt=False,
+        )
+        _run(told, out, checkpoint)
+    return spark.read.schema(told.schema).parquet(out)
+
+
 # -- scoring ----------------------------------------------------------------
 
 _SCORED = ["UUID", "payment_method_ctx", "discounts_and_offers_ctx", "order_date_and_time_ctx"]
 
 
-def _score_all(spark, sf_dir, sink_list, errors, rejects, broken_every=0, batch_log=None):
+def _score_all(
+    spark, sf_dir, sink_list, errors, rejects, broken_every=0, batch_log=None, checkpoint=None, **more
+):
     session = stream_session(spark)
     stream = scoring.start_scoring(
         _request_messages(session, sf_dir, broken_every),
         trained(spark, sf_dir).model,
         sink_list,
-        checkpoint=work_path(spark, "scoring-checkpoint"),
+        checkpoint=checkpoint or work_path(spark, "scoring-checkpoint"),
         errors=errors,
         rejects=rejects,
         available_now=True,
         batch_log=batch_log,
+        **more,
     )
     stream.awaitTermination()
 
@@ -287,6 +406,111 @@ def empty_batch_skip(spark, sf_dir):
     return spark.read.parquet(out).select("UUID", "batch_id")
 
 
+@query(
+    "batch_ledger",
+    sql("requests", """
+SELECT count(*) AS rows_in, count(*) FILTER (WHERE event_id % 97 <> 0) AS rows_scored,
+  count(*) FILTER (WHERE event_id % 97 = 0) AS rows_rejected
+FROM requests"""),
+)
+def batch_ledger(spark, sf_dir):
+    """Row counts of a real scored stream, read back from its ledger of batches."""
+    counted = ledger.BatchLedger(spark, work_path(spark, "batches"))
+    _score_all(
+        spark, sf_dir, [], errors=work_path(spark, "errors"), rejects=work_path(spark, "rejects"),
+        broken_every=97, batch_log=counted,
+    )
+    names = ("rows_in", "rows_scored", "rows_rejected")
+    return counted.counts().agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _failing(times: int, write: sinks.Writer) -> sinks.Writer:
+    """A writer that fails a number of times before it works."""
+    left = [times]
+
+    def run(df: DataFrame, epoch: int) -> None:
+        if left[0] > 0:
+            left[0] -= 1
+            raise OSError("down")
+        write(df, epoch)
+
+    return run
+
+
+def _failed_twice(spark, sf_dir) -> tuple[sinks.Sink, str, str, str]:
+    """A scored stream in which `search` fails in both runs of a batch, `messages` in the first."""
+    paths = {n: work_path(spark, n) for n in ("search", "messages", "errors", "held", "failed-checkpoint")}
+    search = sinks.Sink("search", _failing(2, _parquet_sink(paths["search"])), on_error="continue")
+    required = sinks.Sink("messages", _failing(1, _parquet_sink(paths["messages"])))
+    for _ in range(2):
+        try:
+            _score_all(
+                spark, sf_dir, [search, required], errors=paths["errors"],
+                rejects=work_path(spark, "rejects"), broken_every=97,
+                checkpoint=paths["failed-checkpoint"], held=paths["held"],
+            )
+        except StreamingQueryException:
+            continue  # the required sink was down: the next run repeats the batch
+    return search, paths["search"], paths["errors"], paths["held"]
+
+
+@query(
+    "failure_ledger",
+    sql("requests", """
+, good AS (SELECT count(*) AS n FROM requests WHERE event_id % 97 <> 0)
+SELECT 'search' AS sink, 'sink search' AS note, 'down' AS error, CAST(1 AS BIGINT) AS n_records, n AS n_held FROM good
+UNION ALL SELECT 'messages', 'sink messages', 'down', 1, 0"""),
+)
+def failure_ledger(spark, sf_dir):
+    """One record for each sink that failed, however often, and the rows that wait for it."""
+    _, _, errors, held = _failed_twice(spark, sf_dir)
+    waiting_rows = spark.read.parquet(held).groupBy("sink").agg(F.count(F.lit(1)).alias("n_held"))
+    records = sinks.failures(spark, errors).groupBy("sink", "note", "error").agg(
+        F.count(F.lit(1)).alias("n_records")
+    )
+    return records.join(waiting_rows, "sink", "left").select(
+        "sink", "note", "error", "n_records", F.coalesce("n_held", F.lit(0)).cast("long").alias("n_held")
+    )
+
+
+@query(
+    "failure_replay",
+    sql("requests", """SELECT "UUID", CAST(0 AS BIGINT) AS open_records FROM requests WHERE event_id % 97 <> 0"""),
+)
+def failure_replay(spark, sf_dir):
+    """What the sink has once its held batches were replayed, and no record of it is left."""
+    search, path, errors, held = _failed_twice(spark, sf_dir)
+    sinks.replay(spark, held, errors, [search])
+    still_open = sinks.failures(spark, errors).where("sink = 'search'").count()
+    return spark.read.parquet(path).select("UUID", F.lit(still_open).cast("long").alias("open_records"))
+
+
+@query(
+    "committed_batches",
+    sql("requests", 'SELECT "UUID", CAST(0 AS BIGINT) AS batch_id FROM requests WHERE event_id % 2 = 0'),
+)
+def committed_batches(spark, sf_dir):
+    """Two batches, the second of which stops between its two sinks: only the first is seen."""
+    out, other = work_path(spark, "first-sink"), work_path(spark, "second-sink")
+    commits = work_path(spark, "commits")
+    second = sinks.Sink("second", _parquet_sink(other))
+    process = scoring.batch_scorer(
+        trained(spark, sf_dir).model, [sinks.Sink("first", _parquet_sink(out)), second],
+        errors=work_path(spark, "errors"), commits=commits,
+    )
+    messages = documents.request_kv_encode(fixtures.requests(spark, sf_dir))
+    batch = decode_with_source(messages).withColumn("rejected", F.col("UUID").isNull())
+    half = F.pmod(fixtures.event_number(F.col("UUID")), F.lit(2))
+    process(batch.where(half == 0), 0)
+    second.write = _failing(1, second.write)
+    try:
+        process(batch.where(half == 1), 1)
+    except sinks.SinkFailed:
+        pass  # the stream would stop here
+    rows = spark.read.parquet(out).select("UUID", F.col("batch_id").cast("long").alias("batch_id"))
+    return ledger.committed(rows, ledger.notes(spark, commits, ledger.COMMIT))
+
+
 @query("stream_score_plain")
 def stream_score_plain(spark, sf_dir):
     """Scores the stream itself, without a function per batch or any de-duplication."""

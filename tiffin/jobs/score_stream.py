@@ -16,6 +16,7 @@ from tiffin.plans.training import load_model, model_path
 from tiffin.schemas import LATE_LIMIT, REQUEST_TOPIC, RESPONSE_TOPIC
 from tiffin.session import build_session, stream_session
 from tiffin.sources.messages import request_source
+from tiffin.streaming.ledger import BatchLedger
 from tiffin.streaming.scoring import response_document, response_with_context, start_scoring
 from tiffin.streaming.sinks import Sink, document_sink, message_sink, search_sink
 
@@ -79,6 +80,9 @@ def main(argv: list[str] | None = None) -> None:
         spread=args.dedup_spread,
         shape=SHAPES[args.shape],
         files=args.files_per_batch,
+        batch_log=BatchLedger(spark, f"{args.out}/batches"),
+        commits=f"{args.out}/commits",
+        held=f"{args.out}/held",
     )
     stream.awaitTermination()
 

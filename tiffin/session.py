@@ -102,12 +102,27 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/tiffin/{label}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _place(spark, path)
+    return system.exists(target)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller owns; one that is not there is no fault."""
+    system, target = _place(spark, path)
+    system.delete(target, True)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a table under the shared folder that nothing reads any more."""
     if not path.startswith(f"{work_root(spark)}/tiffin/"):
         raise ValueError(f"{path} is not under the work folder")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    delete_folder(spark, path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

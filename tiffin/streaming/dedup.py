@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tiffin.schemas import LATE_LIMIT
 
 EVENT_TIME = "order_date_and_time"
+HOLD_SECONDS = 3600  # as long as rows may be late
 
 
 def with_late_limit(df: DataFrame, event_time: str = EVENT_TIME, limit: str = LATE_LIMIT) -> DataFrame:
@@ -41,6 +45,73 @@ def dedup_uuid_bounded(df: DataFrame, key: str = "UUID", spread: int = 1) -> Dat
     return df.dropDuplicatesWithinWatermark([key])
 
 
+class FirstArrival(StatefulProcessor):
+    """Lets one row of a key pass; a timer takes its mark away when the stream's time has moved
+    on far enough since."""
+
+    def __init__(self, hold_ms: int):
+        self.hold_ms = hold_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "since long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if not self.seen.exists():
+            self._hold(timerValues)
+            yield next(rows)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # A mark set before the stream had a time counts from the first one.
+        if self.seen.get()[0] == 0:
+            self._hold(timerValues)
+        else:
+            self.seen.clear()
+        yield from ()
+
+    def _hold(self, timerValues) -> None:
+        now = max(0, timerValues.getCurrentWatermarkInMs())
+        self.seen.update((now,))
+        self.handle.registerTimer(now + self.hold_ms)
+
+    def close(self) -> None:
+        pass
+
+
+def dedup_by_arrival(
+    df: DataFrame, key: str = "UUID", hold_seconds: int = HOLD_SECONDS, spread: int = 1
+) -> DataFrame:
+    """First arrival per key; copies are dropped until the watermark has moved `hold_seconds` on.
+
+    For rows without an event time of their own, which the built-in operator forgets at once. Here
+    the mark of a key lives by the time that the other rows of the stream tell, so a replay gives
+    what the first run gave; `df` has a watermark. With `spread`, copies of one key are first
+    reduced in that many tasks.
+    """
+    keys = [[key]]
+    if spread > 1:
+        df = _salted(df, spread)
+        keys.insert(0, [key, "_salt"])
+    for columns in keys:
+        df = df.groupBy(*columns).transformWithState(
+            FirstArrival(hold_seconds * 1000), df.schema, "append", "eventTime"
+        )
+    return df.drop("_salt")
+
+
+def dedup_requests(
+    df: DataFrame, key: str = "UUID", event_time: str = EVENT_TIME,
+    hold_seconds: int = HOLD_SECONDS, spread: int = 1,
+) -> DataFrame:
+    """First arrival per key, for rows with an event time and for rows without.
+
+    `df` has its late limit. Each kind reads the source, and a key that comes with and without a
+    time passes once as each."""
+    timed = dedup_uuid_bounded(df.where(F.col(event_time).isNotNull()), key, spread)
+    untimed = dedup_by_arrival(df.where(F.col(event_time).isNull()), key, hold_seconds, spread)
+    return timed.unionByName(untimed)
+
+
 def guarded_event_time(df: DataFrame, event_time: str = EVENT_TIME, ahead: str = "1 day") -> DataFrame:
     """Add `event_ts` for the watermark: no time for rows stamped in the far future.
 

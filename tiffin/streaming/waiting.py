@@ -1,42 +1,146 @@
-"""Waiting for responses: requests and responses as two streams."""
+"""Waiting for responses: requests and responses as two streams, matched per id.
+
+A keyed state holds the requests that still wait and the answers that may serve one of them, both
+by time. A request ends at the first answer at or after it, if that comes within the wait limit,
+else at the limit. A timer per request goes off when the watermark has passed that moment, so
+that nothing can change it any more. Answers may come out of order, before their request, and
+several to one id, and the result is that of `operators.matching.response_within_timeout` over
+the same rows.
+
+The key is the id and a stretch of time as long as the limit; an answer is placed in its own
+stretch and the one before. So a busy id is spread over many states, and a state lives only as
+long as its stretch is not behind the watermark.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tiffin.schemas import RESPONSE_WAIT_SECONDS
 
+_OUT = "waiter string, request_micros long, status string, prediction double"
+
+
+class Waiting(StatefulProcessor):
+    """The requests and answers of one id and stretch, by microseconds since the epoch."""
+
+    def __init__(self, seconds: int, prompt: bool):
+        self.limit, self.prompt = seconds * 1_000_000, prompt
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        # A request that is told stays until its copies would be late.
+        self.requests = handle.getMapState("requests", "at long", "told boolean")
+        self.answers = handle.getMapState("answers", "at long", "prediction double")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        for row in rows:
+            at = (row["micros"],)
+            if row["asks"]:
+                # Copies of one request are one.
+                if not self.requests.containsKey(at):
+                    self.requests.updateValue(at, (False,))
+            else:
+                # Of answers at one time the smallest counts, a missing one last.
+                held = self.answers.getValue(at) if self.answers.containsKey(at) else None
+                known = [p for p in (row["prediction"], held and held[0]) if p is not None]
+                self.answers.updateValue(at, (min(known) if known else None,))
+        yield from self._settled(key, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._settled(key, timerValues)
+
+    def _settled(self, key, timerValues) -> Iterator[Row]:
+        watermark = max(0, timerValues.getCurrentWatermarkInMs()) * 1000
+        answers = sorted((at[0], value[0]) for at, value in self.answers.iterator())
+        requests = sorted((at[0], told[0]) for at, told in self.requests.iterator())
+        wake, place = set(), 0
+        for asked, told in requests:
+            while place < len(answers) and answers[place][0] < asked:
+                place += 1
+            served = place < len(answers) and answers[place][0] <= asked + self.limit
+            ends = answers[place][0] if served else asked + self.limit
+            if not told and (ends < watermark or (served and self.prompt)):
+                told = True
+                yield Row(
+                    waiter=key[0],
+                    request_micros=asked,
+                    status="ok" if served else "queued",
+                    prediction=answers[place][1] if served else None,
+                )
+            if told and asked < watermark:
+                self.requests.removeKey((asked,))
+            else:
+                self.requests.updateValue((asked,), (told,))
+                wake.add(asked if told else ends)
+        # Rows before the watermark no longer come, so an answer before it serves nobody new;
+        # those that wait have none before it, or they would be told.
+        for at, _ in answers:
+            if at < watermark:
+                self.answers.removeKey((at,))
+            else:
+                wake.add(at)
+        set_already = set(self.handle.listTimers())
+        for at in wake:
+            due = at // 1000 + 1
+            if due not in set_already:
+                self.handle.registerTimer(due)
+                set_already.add(due)
+
+    def close(self) -> None:
+        pass
+
 
 def await_responses(
     requests: DataFrame,
     responses: DataFrame,
     seconds: int = RESPONSE_WAIT_SECONDS,
     late_limit: str = "10 minutes",
+    prompt: bool = True,
 ) -> DataFrame:
-    """Each request with its response if that came within the wait limit, else queued.
+    """Each request with the first response within the wait limit, else queued.
 
-    `requests` has UUID and req_ts, `responses` has UUID, resp_ts and prediction. Copies are
-    dropped on both sides first, so one id cannot pair many with many. A request without a
-    timely response comes out once the watermark has passed its limit.
+    With `prompt` a request is told as soon as a response is there; of several that come in
+    different batches the first to come counts. Without, it is told when no earlier response can
+    come any more, so the order of arrival never shows.
+
+    `requests` has UUID and req_ts, `responses` has UUID, resp_ts and prediction. Copies of a
+    request, equal in id and time, count once. A request without an id waits in vain, each one
+    for itself, so that they do not meet in one state. A request without a time cannot be told
+    late or in time and is left out, as are answers without id or time.
     """
-    asked = (
-        requests.select("UUID", "req_ts")
-        .withWatermark("req_ts", late_limit)
-        .dropDuplicatesWithinWatermark(["UUID", "req_ts"])
+    no_id = F.concat(F.lit("n"), F.expr("uuid()"))
+    asked = requests.where(F.col("req_ts").isNotNull()).select(
+        F.coalesce(F.concat(F.lit("k"), F.col("UUID")), no_id).alias("waiter"),
+        F.col("req_ts").alias("event_ts"),
+        F.lit(True).alias("asks"),
+        F.lit(None).cast("double").alias("prediction"),
+    )
+    answered = responses.where(F.col("UUID").isNotNull() & F.col("resp_ts").isNotNull()).select(
+        F.concat(F.lit("k"), F.col("UUID")).alias("waiter"),
+        F.col("resp_ts").alias("event_ts"),
+        F.lit(False).alias("asks"),
+        "prediction",
     )
-    answered = (
-        responses.select(F.col("UUID").alias("answer_id"), "resp_ts", "prediction")
-        .withWatermark("resp_ts", late_limit)
-        .dropDuplicatesWithinWatermark(["answer_id"])
+    # Each side has a watermark of its own; the slower one counts.
+    both = asked.withWatermark("event_ts", late_limit).unionByName(
+        answered.withWatermark("event_ts", late_limit)
     )
-    in_time = F.expr(
-        "UUID = answer_id AND resp_ts BETWEEN req_ts AND req_ts + interval "
-        f"{seconds} seconds"
+    micros = F.unix_micros("event_ts")
+    stretch = F.floor(micros / F.lit(seconds * 1_000_000)).cast("bigint")
+    places = F.when(F.col("asks"), F.array(stretch)).otherwise(F.array(stretch, stretch - 1))
+    placed = both.withColumn("micros", micros).withColumn("stretch", F.explode(places))
+    settled = placed.groupBy("waiter", "stretch").transformWithState(
+        Waiting(seconds, prompt), _OUT, "append", "eventTime"
     )
-    return asked.join(answered, in_time, "left_outer").select(
-        F.col("UUID").alias("key"),
-        "req_ts",
-        F.when(F.col("answer_id").isNotNull(), "ok").otherwise("queued").alias("status"),
+    own = F.col("waiter").startswith("k")
+    return settled.select(
+        F.when(own, F.col("waiter").substr(F.lit(2), F.length("waiter"))).alias("key"),
+        F.timestamp_micros("request_micros").alias("req_ts"),
+        "status",
         "prediction",
     )
