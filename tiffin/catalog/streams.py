@@ -94,15 +94,20 @@ def start_position(spark, sf_dir):
     """What a new stream reads and what a resumed one reads, once the second half has come."""
     folder, checkpoint = work_path(spark, "positions"), work_path(spark, "resumed-checkpoint")
     session = stream_session(spark)
-    half = F.pmod(fixtures.event_number(F.col("UUID")), F.lit(2))
-    arrived = fixtures.requests(spark, sf_dir).select("UUID")
+    arrived = documents.request_kv_encode(fixtures.requests(spark, sf_dir)).withColumn(
+        "half", F.pmod(fixtures.event_number(F.col("key")), F.lit(2))
+    )
 
     def stream() -> DataFrame:
-        return session.readStream.schema(arrived.schema).parquet(folder)
+        source = request_source(session, "json", folder, starting="earliest")
+        return decode_requests(source).select("UUID")
+
+    def send(half: int) -> None:
+        arrived.where(F.col("half") == half).drop("half").write.mode("append").json(folder)
 
-    arrived.where(half == 0).write.mode("append").parquet(folder)
+    send(0)
     _run(stream(), work_path(spark, "first-half"), checkpoint)
-    arrived.where(half == 1).write.mode("append").parquet(folder)
+    send(1)
     resumed = work_path(spark, "resumed")
     later = (
         stream().writeStream.option("checkpointLocation", checkpoint)
