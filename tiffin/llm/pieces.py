@@ -242,9 +242,11 @@ def _model_data(df: DataFrame, model_path: str):
 
 def encode(
     docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-    decoded: bool = False,
+    decoded: bool = False, store_words: int = 400_000,
 ) -> DataFrame:
-    """(id, ids array<int>) per row, with `decoded` also the text that the ids decode to."""
+    """(id, ids array<int>) per row, with `decoded` also the text that the ids decode to.
+
+    `store_words` bounds the words that a task keeps for later ones; it changes no result."""
     data = _model_data(docs, model_path)
     fields = [
         T.StructField("id", docs.schema[id_col].dataType),
@@ -255,6 +257,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(data.value)
+        model.store.limit = store_words
         for batch in slices(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids, sizes = model.encode(texts)
