@@ -25,6 +25,7 @@ from tiffin.llm import exact, languages, mixing, pieces, routing, simhash
 from tiffin.llm.common import documents, small_batches, stored
 
 SHINGLE = 5  # words
+STORE_WORDS = 100_000  # executors still hold what earlier stages left in memory
 
 
 def _placed(docs: DataFrame) -> DataFrame:
@@ -111,7 +112,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     import public_tokenizers
 
-    rows = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded=True)
+    rows = pieces.encode(
+        docs, public_tokenizers.path("piece_bpe_32k.model"), decoded=True, store_words=STORE_WORDS
+    )
     return rows.select(F.col("id").alias("doc_id"), "ids", "decoded")
 
 
