@@ -302,10 +302,9 @@ def test_two_answers_of_one_id_out_of_order_equal_the_batch_form(spark, session,
         answered = [("end", end, 0.0)] if last else answers[2 - portion :: 3]
         frame(asked, requests).write.mode("append").parquet(f"{folder}/asked")
         frame(answered, responses).write.mode("append").parquet(f"{folder}/answers")
-        told = waiting.await_responses(
+        told = waiting.settle_responses(
             session.readStream.schema(requests).parquet(f"{folder}/asked"),
             session.readStream.schema(responses).parquet(f"{folder}/answers"),
-            prompt=False,
         )
         query = run(told, f"{folder}/out", f"{folder}/checkpoint")
     got = sorted(map(str, spark.read.parquet(f"{folder}/out").collect()))

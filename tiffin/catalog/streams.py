@@ -326,11 +326,10 @@ def await_repeated_responses(spark, sf_dir):
             answers = end.select("UUID", F.col("req_ts").alias("resp_ts"), F.lit(0.0).alias("prediction"))
         asks.write.mode("append").parquet(asked_at)
         answers.write.mode("append").parquet(answered_at)
-        told = waiting.await_responses(
+        told = waiting.settle_responses(
             session.readStream.schema(asked.schema).parquet(asked_at),
             session.readStream.schema(answered.schema).parquet(answered_at),
             late_limit="10000 days",
-            prompt=False,
         )
         _run(told, out, checkpoint)
     return spark.read.schema(told.schema).parquet(out)

@@ -1,15 +1,14 @@
 """Waiting for responses: requests and responses as two streams, matched per id.
 
-A keyed state holds the requests that still wait and the answers that may serve one of them, both
-by time. A request ends at the first answer at or after it, if that comes within the wait limit,
-else at the limit. A timer per request goes off when the watermark has passed that moment, so
-that nothing can change it any more. Answers may come out of order, before their request, and
-several to one id, and the result is that of `operators.matching.response_within_timeout` over
-the same rows.
-
+`await_responses` is an interval join: it tells a request as soon as a response is there.
+`settle_responses` is for streams in which one id asks and is answered several times and rows
+come out of order: its result is that of `operators.matching.response_within_timeout` over the
+same rows. A keyed state holds the requests that still wait and the answers that may serve one of
+them. A request ends at the first answer at or after it, if that comes within the wait limit, else
+at the limit, and is told when the watermark has passed that moment, for which a timer is set.
 The key is the id and a stretch of time as long as the limit; an answer is placed in its own
-stretch and the one before. So a busy id is spread over many states, and a state lives only as
-long as its stretch is not behind the watermark.
+stretch and the one before. So a busy id is spread over many states, each of which holds the rows
+of one stretch and goes when the watermark has passed it.
 """
 
 from __future__ import annotations
@@ -23,73 +22,63 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tiffin.schemas import RESPONSE_WAIT_SECONDS
 
 _OUT = "waiter string, request_micros long, status string, prediction double"
+_STATE = "requests array<long>, answers array<long>, predictions array<double>"
 
 
 class Waiting(StatefulProcessor):
     """The requests and answers of one id and stretch, by microseconds since the epoch."""
 
-    def __init__(self, seconds: int, prompt: bool):
-        self.limit, self.prompt = seconds * 1_000_000, prompt
+    def __init__(self, seconds: int):
+        self.limit = seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # A request that is told stays until its copies would be late.
-        self.requests = handle.getMapState("requests", "at long", "told boolean")
-        self.answers = handle.getMapState("answers", "at long", "prediction double")
+        self.held = handle.getValueState("held", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        requests, answers = self._get()
         for row in rows:
-            at = (row["micros"],)
             if row["asks"]:
-                # Copies of one request are one.
-                if not self.requests.containsKey(at):
-                    self.requests.updateValue(at, (False,))
-            else:
-                # Of answers at one time the smallest counts, a missing one last.
-                held = self.answers.getValue(at) if self.answers.containsKey(at) else None
-                known = [p for p in (row["prediction"], held and held[0]) if p is not None]
-                self.answers.updateValue(at, (min(known) if known else None,))
-        yield from self._settled(key, timerValues)
+                requests.add(row["micros"])  # copies of one request are one
+                continue
+            # Of answers at one time the smallest counts, a missing one last.
+            known = [p for p in (row["prediction"], answers.get(row["micros"])) if p is not None]
+            answers[row["micros"]] = min(known) if known else None
+        yield from self._settled(key, timerValues, requests, answers)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._settled(key, timerValues)
+        yield from self._settled(key, timerValues, *self._get())
+
+    def _get(self) -> tuple[set[int], dict[int, float | None]]:
+        row = self.held.get() if self.held.exists() else ([], [], [])
+        return set(row[0]), dict(zip(row[1], row[2], strict=True))
 
-    def _settled(self, key, timerValues) -> Iterator[Row]:
+    def _settled(self, key, timerValues, requests: set, answers: dict) -> Iterator[Row]:
         watermark = max(0, timerValues.getCurrentWatermarkInMs()) * 1000
-        answers = sorted((at[0], value[0]) for at, value in self.answers.iterator())
-        requests = sorted((at[0], told[0]) for at, told in self.requests.iterator())
-        wake, place = set(), 0
-        for asked, told in requests:
-            while place < len(answers) and answers[place][0] < asked:
+        times, wait, place = sorted(answers), {}, 0
+        for asked in sorted(requests):
+            while place < len(times) and times[place] < asked:
                 place += 1
-            served = place < len(answers) and answers[place][0] <= asked + self.limit
-            ends = answers[place][0] if served else asked + self.limit
-            if not told and (ends < watermark or (served and self.prompt)):
-                told = True
-                yield Row(
-                    waiter=key[0],
-                    request_micros=asked,
-                    status="ok" if served else "queued",
-                    prediction=answers[place][1] if served else None,
-                )
-            if told and asked < watermark:
-                self.requests.removeKey((asked,))
-            else:
-                self.requests.updateValue((asked,), (told,))
-                wake.add(asked if told else ends)
-        # Rows before the watermark no longer come, so an answer before it serves nobody new;
-        # those that wait have none before it, or they would be told.
-        for at, _ in answers:
-            if at < watermark:
-                self.answers.removeKey((at,))
-            else:
-                wake.add(at)
-        set_already = set(self.handle.listTimers())
-        for at in wake:
-            due = at // 1000 + 1
-            if due not in set_already:
-                self.handle.registerTimer(due)
-                set_already.add(due)
+            served = place < len(times) and times[place] <= asked + self.limit
+            ends = times[place] if served else asked + self.limit
+            if ends >= watermark:
+                wait[asked] = ends
+                continue
+            yield Row(
+                waiter=key[0],
+                request_micros=asked,
+                status="ok" if served else "queued",
+                prediction=answers[times[place]] if served else None,
+            )
+        # Rows before the watermark no longer come, so an answer before it serves nobody new.
+        later = [at for at in times if at >= watermark]
+        if not wait and not later:
+            self.held.clear()
+            return
+        self.held.update((list(wait), later, [answers[at] for at in later]))
+        # One timer is enough: it sets the next one.
+        wake = min(wait.values()) if wait else later[-1]
+        self.handle.registerTimer(wake // 1000 + 1)
 
     def close(self) -> None:
         pass
@@ -100,13 +89,44 @@ def await_responses(
     responses: DataFrame,
     seconds: int = RESPONSE_WAIT_SECONDS,
     late_limit: str = "10 minutes",
-    prompt: bool = True,
 ) -> DataFrame:
-    """Each request with the first response within the wait limit, else queued.
+    """Each request with a response if that came within the wait limit, else queued.
 
-    With `prompt` a request is told as soon as a response is there; of several that come in
-    different batches the first to come counts. Without, it is told when no earlier response can
-    come any more, so the order of arrival never shows.
+    `requests` has UUID and req_ts, `responses` has UUID, resp_ts and prediction. Copies are
+    dropped on both sides first, so no row counts twice, and of several responses in time a
+    request takes one that came first. A request without a timely response comes out once the
+    watermark has passed its limit.
+    """
+    asked = (
+        requests.select("UUID", "req_ts")
+        .withWatermark("req_ts", late_limit)
+        .dropDuplicatesWithinWatermark(["UUID", "req_ts"])
+    )
+    answered = (
+        responses.select(F.col("UUID").alias("answer_id"), "resp_ts", "prediction")
+        .withWatermark("resp_ts", late_limit)
+        .dropDuplicatesWithinWatermark(["answer_id", "resp_ts"])
+    )
+    in_time = F.expr(
+        "UUID = answer_id AND resp_ts BETWEEN req_ts AND req_ts + interval "
+        f"{seconds} seconds"
+    )
+    told = asked.join(answered, in_time, "left_outer").select(
+        F.col("UUID").alias("key"),
+        "req_ts",
+        F.when(F.col("answer_id").isNotNull(), "ok").otherwise("queued").alias("status"),
+        "prediction",
+    )
+    return told.dropDuplicatesWithinWatermark(["key", "req_ts"])
+
+
+def settle_responses(
+    requests: DataFrame,
+    responses: DataFrame,
+    seconds: int = RESPONSE_WAIT_SECONDS,
+    late_limit: str = "10 minutes",
+) -> DataFrame:
+    """Each request with the first response within the wait limit, else queued, exactly.
 
     `requests` has UUID and req_ts, `responses` has UUID, resp_ts and prediction. Copies of a
     request, equal in id and time, count once. A request without an id waits in vain, each one
@@ -135,7 +155,7 @@ def await_responses(
     places = F.when(F.col("asks"), F.array(stretch)).otherwise(F.array(stretch, stretch - 1))
     placed = both.withColumn("micros", micros).withColumn("stretch", F.explode(places))
     settled = placed.groupBy("waiter", "stretch").transformWithState(
-        Waiting(seconds, prompt), _OUT, "append", "eventTime"
+        Waiting(seconds), _OUT, "append", "eventTime"
     )
     own = F.col("waiter").startswith("k")
     return settled.select(
