@@ -8,7 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle import compare, connect
 from tiffin.catalog import ORACLES, QUERIES
 
-WITHOUT_SQL = {"gbt_train", "score_batch", "model_save_load", "tune_grid", "stream_score_plain"}
+WITHOUT_SQL = {"gbt_train", "score_batch", "tune_grid", "stream_score_plain"}
 
 
 @pytest.fixture(scope="module")

@@ -524,6 +524,22 @@ def stream_score_plain(spark, sf_dir):
     return _collected(spark, scoring.response_document(scored), "plain")
 
 
+@query("stream_equals_batch", sql("requests", 'SELECT "UUID", true AS equal FROM requests'))
+def stream_equals_batch(spark, sf_dir):
+    """Whether each request is answered by the stream as the batch form of the same plan answers it.
+
+    Requests of which one form has no answer show as not equal.
+    """
+    streamed = stream_score_plain(spark, sf_dir).select("UUID", "prediction")
+    messages = documents.request_kv_encode(fixtures.requests(spark, sf_dir))
+    batch = scoring.score_stream(trained(spark, sf_dir).model, decode_requests(messages))
+    both = streamed.join(
+        batch.select("UUID", F.col("prediction").alias("expected")), "UUID", "full"
+    )
+    equal = F.coalesce(F.col("prediction") == F.col("expected"), F.lit(False))
+    return both.select("UUID", equal.alias("equal"))
+
+
 @query(
     "fan_out",
     sql("requests", """
