@@ -10,6 +10,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tiffin import session as session_module
 from tiffin.catalog import QUERIES, aggregates, columns, messages, scalars
@@ -202,6 +203,16 @@ def test_correlation_plan_does_not_grow_with_rows_or_pairs(spark):
     assert profile.correlation_matrix(df.select("c1", "c2", "c3")).count() == 9
 
 
+def test_correlation_spreads_a_group_that_holds_all_rows(spark, monkeypatch):
+    seen, join = [], DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda *args: seen.append(join(*args)) or seen[-1])
+    df = spark.range(0, 20000, 1, 4).selectExpr("id % 7 as a", "id % 11 + 0.5 as b")
+    with settings(spark, autoBroadcastJoinThreshold="-1", adaptive__enabled="false"):
+        profile.correlation_matrix(df)
+        sizes = rows_per_task(seen[0])
+    assert sum(sizes) == 20000 and len(sizes) == 8 and max(sizes) < 5000
+
+
 def fake_cluster(master, **conf):
     class Conf(dict):
         def get(self, key, default=None):

@@ -46,6 +46,20 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+CENTRE_COPIES = 1024
+
+
+def _with_centres(values: DataFrame, centres: DataFrame, has: list[str]) -> DataFrame:
+    """Every row with the means of its group.
+
+    Most rows are of one group as a rule, so its means are there in many copies and the rows meet
+    them in as many places.
+    """
+    copies = centres.selectExpr("*", f"explode(sequence(0L, {CENTRE_COPIES - 1}L)) as copy")
+    dealt = values.selectExpr("*", f"pmod(monotonically_increasing_id(), {CENTRE_COPIES}L) as copy")
+    return dealt.join(copies, [*has, "copy"])
+
+
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlation of all pairs, each over the rows where both are present.
 
@@ -68,7 +82,9 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     centres = values.groupBy(*has).agg(
         *[F.expr(f"{f}(x{i}) as {f}{i}") for f in ("avg", "min", "max") for i in at]
     )
-    shifted = values.join(centres, has).selectExpr(*has, *[f"x{i} - avg{i} as x{i}" for i in at])
+    shifted = _with_centres(values, centres, has).selectExpr(
+        *has, *[f"x{i} - avg{i} as x{i}" for i in at]
+    )
     moments = shifted.groupBy(*has).agg(
         F.expr("count(1) as n"),
         *[F.expr(f"sum(x{i}) as s{i}") for i in at],
