@@ -344,6 +344,31 @@ def test_untimed_copies_reduced_in_several_tasks(spark, session, folder):
     assert sorted(r["UUID"] for r in spark.read.parquet(f"{folder}/out").collect()) == ["u0", "u1", "u2"]
 
 
+def test_untimed_marks_share_states(spark, session, folder, monkeypatch):
+    monkeypatch.setattr(dedup, "MARK_BUCKETS", 4)
+    schema = "UUID string, order_date_and_time timestamp"
+    rows = [(f"u{i}", None) for i in range(50)] + [(None, None)]
+
+    def go(more=()):
+        spark.createDataFrame([*rows, *more], schema).write.mode("append").parquet(f"{folder}/in")
+        stream = dedup.with_late_limit(session.readStream.schema(schema).parquet(f"{folder}/in"))
+        return run(dedup.dedup_requests(stream), f"{folder}/out", f"{folder}/checkpoint")
+
+    def of_marks(query):
+        last = query.recentProgress[-1]["stateOperators"]
+        return sum(s["numRowsTotal"] for s in last if s["operatorName"].startswith("transformWithState"))
+
+    for number in range(2):
+        query = go()
+        assert sorted(str(r["UUID"]) for r in spark.read.parquet(f"{folder}/out").collect()) == sorted(
+            str(r[0]) for r in rows)
+        assert 4 <= of_marks(query) <= 12  # four states, each with a timer
+    query = go([("t", DAY)])
+    go([("t2", DAY + dt.timedelta(hours=9))])
+    go()
+    assert spark.read.parquet(f"{folder}/out").where("UUID = 'u7'").count() == 2
+
+
 def test_late_rows_are_written_once_after_a_restart(spark, folder):
     def writer(path):
         return lambda df, epoch: df.write.mode("overwrite").parquet(f"{path}/batch_id={epoch}")

@@ -12,6 +12,7 @@ from tiffin.schemas import LATE_LIMIT
 
 EVENT_TIME = "order_date_and_time"
 HOLD_SECONDS = 3600  # as long as rows may be late
+MARK_BUCKETS = 1 << 13
 
 
 def with_late_limit(df: DataFrame, event_time: str = EVENT_TIME, limit: str = LATE_LIMIT) -> DataFrame:
@@ -46,33 +47,57 @@ def dedup_uuid_bounded(df: DataFrame, key: str = "UUID", spread: int = 1) -> Dat
 
 
 class FirstArrival(StatefulProcessor):
-    """Lets one row of a key pass; a timer takes its mark away when the stream's time has moved
-    on far enough since."""
+    """Lets one row of an id pass; a timer takes its mark away when the stream's time has moved
+    on far enough since.
 
-    def __init__(self, hold_ms: int):
-        self.hold_ms = hold_ms
+    A state holds the marks of all ids that share a bucket, since a call per id costs far more than
+    the id itself.
+    """
+
+    def __init__(self, hold_ms: int, ids: list[str], marks: str):
+        self.hold_ms, self.ids, self.marks = hold_ms, ids, marks
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "since long")
+        self.seen = handle.getValueState("seen", self.marks)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        if not self.seen.exists():
-            self._hold(timerValues)
-            yield next(rows)
+        marks = self._get()
+        before = len(marks)
+        now = max(0, timerValues.getCurrentWatermarkInMs())
+        for row in rows:
+            own = tuple(row[name] for name in self.ids)
+            if own not in marks:
+                marks[own] = now
+                yield row
+        if len(marks) > before:
+            self._put(marks)
+            if before == 0:  # else there is a timer, which sets the next one
+                self.handle.registerTimer(now + self.hold_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = max(0, timerValues.getCurrentWatermarkInMs())
         # A mark set before the stream had a time counts from the first one.
-        if self.seen.get()[0] == 0:
-            self._hold(timerValues)
-        else:
-            self.seen.clear()
+        marks = {own: since or now for own, since in self._get().items()}
+        marks = {own: since for own, since in marks.items() if since + self.hold_ms > now}
+        self._put(marks)
+        if marks:
+            self.handle.registerTimer(min(marks.values()) + self.hold_ms)
         yield from ()
 
-    def _hold(self, timerValues) -> None:
-        now = max(0, timerValues.getCurrentWatermarkInMs())
-        self.seen.update((now,))
-        self.handle.registerTimer(now + self.hold_ms)
+    def _get(self) -> dict[tuple, int]:
+        if not self.seen.exists():
+            return {}
+        ids, salts, since = self.seen.get()
+        own = zip(ids, salts, strict=True) if len(self.ids) > 1 else zip(ids, strict=True)
+        return dict(zip(own, since, strict=True))
+
+    def _put(self, marks: dict[tuple, int]) -> None:
+        if not marks:
+            self.seen.clear()
+            return
+        salts = [own[1] if len(own) > 1 else 0 for own in marks]
+        self.seen.update(([own[0] for own in marks], salts, list(marks.values())))
 
     def close(self) -> None:
         pass
@@ -93,10 +118,12 @@ def dedup_by_arrival(
         df = _salted(df, spread)
         keys.insert(0, [key, "_salt"])
     for columns in keys:
-        df = df.groupBy(*columns).transformWithState(
-            FirstArrival(hold_seconds * 1000), df.schema, "append", "eventTime"
+        df = df.withColumn("_bucket", F.pmod(F.xxhash64(*columns), F.lit(MARK_BUCKETS)))
+        marks = f"ids array<{df.schema[key].dataType.simpleString()}>, salts array<int>, since array<long>"
+        df = df.groupBy("_bucket").transformWithState(
+            FirstArrival(hold_seconds * 1000, columns, marks), df.schema, "append", "eventTime"
         )
-    return df.drop("_salt")
+    return df.drop("_salt", "_bucket")
 
 
 def dedup_requests(
