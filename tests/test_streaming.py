@@ -315,6 +315,30 @@ def test_two_answers_of_one_id_out_of_order_equal_the_batch_form(spark, session,
     assert state_rows(query) <= 6
 
 
+def test_waits_are_gathered_without_a_call_per_id(spark, session, folder):
+    """Many ids, a busy one among them; the state is Spark's own, in few rows."""
+    key = "if(id % 2 = 0, 'busy', concat('u', id))"
+    asks = spark.range(0, 400, 1, 3).selectExpr(f"{key} as UUID", "timestamp_millis(id * 700) as req_ts")
+    answers = spark.range(0, 400, 1, 3).selectExpr(
+        f"{key} as UUID", "timestamp_millis(id * 700 + id % 130 * 1000) as resp_ts",
+        "if(id % 3 = 0, null, id * 1.0D) as prediction",
+    )
+    end = spark.range(1).selectExpr("'end' as UUID", "timestamp_seconds(100000) as at", "0.0D as prediction")
+    for asked, answered in ((asks, answers.limit(0)), (asks.limit(0), answers),
+                            (end.select("UUID", F.col("at").alias("req_ts")),
+                             end.select("UUID", F.col("at").alias("resp_ts"), "prediction"))):
+        asked.write.mode("append").parquet(f"{folder}/asked")
+        answered.write.mode("append").parquet(f"{folder}/answers")
+        told = waiting.settle_responses(
+            session.readStream.schema(asks.schema).parquet(f"{folder}/asked"),
+            session.readStream.schema(answers.schema).parquet(f"{folder}/answers"),
+        )
+        query = run(told, f"{folder}/out", f"{folder}/checkpoint")
+    got = sorted(map(str, spark.read.parquet(f"{folder}/out").collect()))
+    assert got == sorted(map(str, response_within_timeout(asks, answers).collect()))
+    assert [s["operatorName"] for s in query.recentProgress[-1]["stateOperators"]] == ["stateStoreSave"]
+
+
 def test_untimed_copies_are_dropped_until_their_mark_expires(spark, session, folder):
     schema = "UUID string, order_date_and_time timestamp, value long"
 

@@ -3,85 +3,61 @@
 `await_responses` is an interval join: it tells a request as soon as a response is there.
 `settle_responses` is for streams in which one id asks and is answered several times and rows
 come out of order: its result is that of `operators.matching.response_within_timeout` over the
-same rows. A keyed state holds the requests that still wait and the answers that may serve one of
-them. A request ends at the first answer at or after it, if that comes within the wait limit, else
-at the limit, and is told when the watermark has passed that moment, for which a timer is set.
-The key is the id and a stretch of time as long as the limit; an answer is placed in its own
-stretch and the one before. So a busy id is spread over many states, each of which holds the rows
-of one stretch and goes when the watermark has passed it.
+same rows. Requests and answers are gathered by Spark's own streaming aggregation, by id and a
+stretch of time as long as the limit; an answer is placed in its own stretch and the one before.
+So a busy id is spread over many states, each of which holds the rows of one stretch and goes when
+the watermark has passed it. A stretch that is over is told: a request ends at the first answer at
+or after it, if that comes within the wait limit, else at the limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tiffin.schemas import RESPONSE_WAIT_SECONDS
 
 _OUT = "waiter string, request_micros long, status string, prediction double"
-_STATE = "requests array<long>, answers array<long>, predictions array<double>"
-
-
-class Waiting(StatefulProcessor):
-    """The requests and answers of one id and stretch, by microseconds since the epoch."""
-
-    def __init__(self, seconds: int):
-        self.limit = seconds * 1_000_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getValueState("held", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        requests, answers = self._get()
-        for row in rows:
-            if row["asks"]:
-                requests.add(row["micros"])  # copies of one request are one
-                continue
-            # Of answers at one time the smallest counts, a missing one last.
-            known = [p for p in (row["prediction"], answers.get(row["micros"])) if p is not None]
-            answers[row["micros"]] = min(known) if known else None
-        yield from self._settled(key, timerValues, requests, answers)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._settled(key, timerValues, *self._get())
-
-    def _get(self) -> tuple[set[int], dict[int, float | None]]:
-        row = self.held.get() if self.held.exists() else ([], [], [])
-        return set(row[0]), dict(zip(row[1], row[2], strict=True))
-
-    def _settled(self, key, timerValues, requests: set, answers: dict) -> Iterator[Row]:
-        watermark = max(0, timerValues.getCurrentWatermarkInMs()) * 1000
-        times, wait, place = sorted(answers), {}, 0
-        for asked in sorted(requests):
-            while place < len(times) and times[place] < asked:
-                place += 1
-            served = place < len(times) and times[place] <= asked + self.limit
-            ends = times[place] if served else asked + self.limit
-            if ends >= watermark:
-                wait[asked] = ends
-                continue
-            yield Row(
-                waiter=key[0],
-                request_micros=asked,
-                status="ok" if served else "queued",
-                prediction=answers[times[place]] if served else None,
+
+
+def _first_answers(seconds: int):
+    """Function over Arrow batches of stretches: each request with its first answer in time."""
+    limit = seconds * 1_000_000
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flat(lists: pa.ListArray, start):
+            """The row each element belongs to, the elements, and one sorted number for both:
+            times lie within two limits of the start of the stretch."""
+            row = pc.list_parent_indices(lists).to_numpy()
+            values = lists.flatten()
+            micros = values.field("micros") if pa.types.is_struct(values.type) else values
+            offset = micros.to_numpy() - start[row]
+            return row, values, row.astype("int64") * (4 * limit) + offset
+
+        for batch in batches:
+            start = batch["stretch"].to_numpy() * limit
+            row, asked, at = flat(batch["requests"], start)
+            _, answers, answered = flat(batch["answers"], start)
+            first = np.searchsorted(answered, at)
+            wait = np.append(answered, np.iinfo("int64").max)[first] - at
+            served = wait <= limit
+            chosen = pa.array(first, mask=~served)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["waiter"].take(pa.array(row)),
+                    asked,
+                    pa.array(np.where(served, "ok", "queued"), pa.string()),
+                    answers.field("prediction").take(chosen),
+                ],
+                names=["waiter", "request_micros", "status", "prediction"],
             )
-        # Rows before the watermark no longer come, so an answer before it serves nobody new.
-        later = [at for at in times if at >= watermark]
-        if not wait and not later:
-            self.held.clear()
-            return
-        self.held.update((list(wait), later, [answers[at] for at in later]))
-        # One timer is enough: it sets the next one.
-        wake = min(wait.values()) if wait else later[-1]
-        self.handle.registerTimer(wake // 1000 + 1)
 
-    def close(self) -> None:
-        pass
+    return match
 
 
 def await_responses(
@@ -146,16 +122,31 @@ def settle_responses(
         F.lit(False).alias("asks"),
         "prediction",
     )
-    # Each side has a watermark of its own; the slower one counts.
-    both = asked.withWatermark("event_ts", late_limit).unionByName(
-        answered.withWatermark("event_ts", late_limit)
-    )
     micros = F.unix_micros("event_ts")
     stretch = F.floor(micros / F.lit(seconds * 1_000_000)).cast("bigint")
     places = F.when(F.col("asks"), F.array(stretch)).otherwise(F.array(stretch, stretch - 1))
-    placed = both.withColumn("micros", micros).withColumn("stretch", F.explode(places))
-    settled = placed.groupBy("waiter", "stretch").transformWithState(
-        Waiting(seconds), _OUT, "append", "eventTime"
+    # The time of a row is here the moment after which its stretch gets no more answers, at most
+    # two limits after the row.
+    longer = f"{late_limit} {2 * seconds} seconds"
+
+    def placed(side: DataFrame) -> DataFrame:
+        at = side.withColumn("micros", micros).withColumn("stretch", F.explode(places))
+        over = F.timestamp_seconds((F.col("stretch") + 2) * seconds)
+        return at.drop("event_ts").withColumn("over", over).withWatermark("over", longer)
+
+    # Each side has a watermark of its own; the slower one counts.
+    both = placed(asked).unionByName(placed(answered))
+    # Of answers at one time the smallest counts, a missing one last.
+    answer = F.struct("micros", F.col("prediction").isNull().alias("missing"), "prediction")
+    settled = (
+        both.groupBy("waiter", "over", "stretch")
+        .agg(
+            F.collect_set(F.when(F.col("asks"), F.col("micros"))).alias("requests"),
+            F.collect_set(F.when(~F.col("asks"), answer)).alias("answers"),
+        )
+        .where(F.size("requests") > 0)
+        .select("waiter", "stretch", "requests", F.array_sort("answers").alias("answers"))
+        .mapInArrow(_first_answers(seconds), _OUT)
     )
     own = F.col("waiter").startswith("k")
     return settled.select(
