@@ -29,6 +29,9 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 UNKNOWN_TEXT = " ⁇ "
+# Arrays over a slice take tens of bytes for each of its letters, in every task of an executor.
+SLICE_BYTES = 1 << 20
+BLOCK_IDS = 1 << 16
 _runs = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
 
@@ -177,9 +180,12 @@ class Model:
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
         """The text of each sequence of ids; bytes that are no UTF-8 become U+FFFD each."""
-        widths = self.out_sizes[ids]
-        data = self.out_bytes[ragged(self.out_starts[ids], widths)].tobytes()
-        places = np.concatenate(([0], np.cumsum(widths)))
+        blocks = (ids[at : at + BLOCK_IDS] for at in range(0, len(ids), BLOCK_IDS))
+        data = b"".join(
+            self.out_bytes[ragged(self.out_starts[block], self.out_sizes[block])].tobytes()
+            for block in blocks
+        )
+        places = np.concatenate(([0], np.cumsum(self.out_sizes[ids])))
         ends = np.cumsum(sizes)
         controls = self.is_control[ids]
         texts: list[str | None] = []
@@ -258,7 +264,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(data.value)
         model.store.limit = store_words
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids, sizes = model.encode(texts)
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
