@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tiffin.llm import (
-    anchors, exact, inner_search, languages, mixing, pieces, simhash, suffixes, token_counts, urls,
+    anchors, chunked, exact, inner_search, languages, mixing, pieces, simhash, suffixes, token_counts, urls,
 )
 from tiffin.llm.deep_shallow import sort_windows
 
@@ -84,6 +84,46 @@ def test_removed_bytes_of_random_texts(spark, letters):
         assert bytes(got[i]["kept"]) == kept
 
 
+def candidates(texts):
+    """The candidate windows of texts that are each a chunk of their own."""
+    parts = [suffixes.segments(t, 50, 16) for t in texts]
+    rows = [
+        {"token": at} | dict(zip("abc", suffixes.packed_segments(
+            np.stack((anchor, whole), axis=1), flanks, np.arange(len(anchor)),
+            np.full(len(anchor), at)), strict=True))
+        for at, (anchor, whole, flanks, _, _) in enumerate(parts)
+    ]
+    out = chunked.Rows()
+    suffixes.compare_segments(rows, out)
+    judge, found = suffixes.judge_segments(50, 16), []
+    for at, (anchor, _, _, sizes, before) in enumerate(parts):
+        replies = [dict(zip("abc", r[5:], strict=True)) for r in out.rows if r[1] == at]
+        row = {"a": chunked.runs(np.arange(len(anchor))).tobytes(), "c": bytes(len(anchor) // 8 + 1),
+               "b": np.concatenate((sizes, before)).astype(np.uint8).tobytes()}
+        spans = suffixes.spans_of(judge(row, suffixes.segment_flags(replies)))[1]
+        found.append({x for a, b in spans.tolist() for x in range(a, b)})
+    return found
+
+
+def test_only_windows_with_a_shared_flank_are_candidates():
+    chance = random.Random(3)
+    texts = [chance.randbytes(400), chance.randbytes(400)]
+    common = chance.randbytes(60)
+    # 30 bytes hold an anchor now and then but never an anchor with a flank of 17 bytes.
+    assert candidates([t[:200] + common[:30] + t[200:] for t in texts]) == [set(), set()]
+    first, second = candidates([t[:200] + common + t[200:] for t in texts])
+    assert set(range(200, 211)) <= first and set(range(200, 211)) <= second
+    assert max(len(first), len(second)) < 60
+
+
+@pytest.mark.parametrize("values", [
+    [0], [7, 7], [-3, 252], [5, 70_000], [-(1 << 31), (1 << 31) - 1], [1 << 40, -(1 << 40)],
+    [-(1 << 63), (1 << 63) - 1],
+])
+def test_packed_numbers(values):
+    assert chunked.unpack(chunked.pack(np.array(values, np.int64))).tolist() == values
+
+
 def test_deep_shallow_order():
     chance = np.random.default_rng(5)
     windows = chance.integers(97, 99, (400, 50)).astype(np.uint8)

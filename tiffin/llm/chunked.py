@@ -71,15 +71,40 @@ def blocks_of(spark: SparkSession) -> int:
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def by_block(rows: Rows, token: int, block: np.ndarray, columns: list[np.ndarray]) -> None:
-    """Add a KEYS row for each block; columns are cut alike, the order within is kept."""
+def by_block(
+    rows: Rows, token: int, block: np.ndarray, columns: list[np.ndarray], form=None
+) -> None:
+    """Add a KEYS row for each block; columns are cut alike, the order within is kept.
+
+    `form` turns the columns of a block into those of its row.
+    """
     order = np.argsort(block, kind="stable")
     block = block[order]
     cuts = np.flatnonzero(np.diff(block)) + 1
     for part in np.split(np.arange(len(block)), cuts):
         if len(part):
             chosen = order[part]
-            rows.add(KEYS, token, int(block[part[0]]), None, None, *[c[chosen] for c in columns])
+            own = [c[chosen] for c in columns]
+            rows.add(
+                KEYS, token, int(block[part[0]]), None, None, *(form(*own) if form else own)
+            )
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Some whole numbers, at least one, in as few bytes each as their range needs."""
+    low, high = int(values.min()), int(values.max())
+    for width in (1, 2, 4):
+        if high - low < 1 << 8 * width:
+            break
+    else:
+        low, width = 0, 8
+    return np.array([low, width], "<i8").tobytes() + (values - low).astype(f"<i{width}").tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    low, width = np.frombuffer(data, "<i8", 2).tolist()
+    kind = "<i8" if width == 8 else f"<u{width}"
+    return np.frombuffer(data, kind, offset=16).astype(np.int64) + low
 
 
 def home(token: int) -> int:
