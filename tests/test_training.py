@@ -11,7 +11,7 @@ from tiffin.catalog.models import KEYS, training_rows
 from tiffin.jobs import eda_report
 from tiffin.jobs import train as train_job
 from tiffin.plans import training
-from tiffin.schemas import CATEGORY_FEATURES, LABEL, TRAINING_NUMERIC_FEATURES
+from tiffin.schemas import CATEGORY_FEATURES, LABEL, NUMERIC_FEATURES, TRAINING_NUMERIC_FEATURES
 
 
 @pytest.fixture(scope="module")
@@ -143,3 +143,60 @@ def test_queries_run_the_grid_and_the_trees_of_the_reference(spark, sf_dir):
     assert [(r["max_depth"], r["max_iter"]) for r in points] == [(5, 20), (5, 40)]
     assert [r["n_trees"] for r in QUERIES["gbt_train"](spark, sf_dir).collect()] == [20, 40]
     assert models.trained(spark, sf_dir).model.stages[-1].getNumTrees == training.MAX_ITER
+
+
+def _few_rows(spark, n=80):
+    """Small feature rows of our own, under ids that decide the split."""
+    df = spark.range(n, numPartitions=2).select(
+        F.col("id").alias("order_id"), F.col("id").alias("line_no"), F.col("id").alias("l_partkey"),
+        *[(F.pmod("id", F.lit(k + 2)) * 1.5).alias(c) for k, c in enumerate(NUMERIC_FEATURES)],
+        *[F.pmod("id", F.lit(k + 2)).cast("string").alias(c) for k, c in enumerate(CATEGORY_FEATURES)],
+        (F.pmod("id", F.lit(7)) * 10.0).alias(LABEL),
+    )
+    return df
+
+
+def _counted(spark, values, kind):
+    """`values` through a function that counts its calls."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        calls.add(1)
+        return value
+
+    return F.udf(count, kind)(values), calls
+
+
+def test_training_hashes_the_keys_of_a_row_once(spark, monkeypatch):
+    rows = _few_rows(spark)
+    plain = training.train(rows, KEYS, max_depth=2, max_iter=2)
+    hashed, calls = _counted(spark, training.split_bucket(*KEYS), "bigint")
+    monkeypatch.setattr(training, "split_bucket", lambda *keys: hashed)
+    counted = training.train(rows, KEYS, max_depth=2, max_iter=2)
+    assert calls.value == 80
+    assert (counted.n_train, counted.n_test) == (plain.n_train, plain.n_test)
+    assert counted.rmse == pytest.approx(plain.rmse)
+    learn, held_out = training.train_test_split(rows, KEYS)
+    assert (counted.n_train, counted.n_test) == (learn.count(), held_out.count())
+
+
+def test_both_trainings_of_a_query_share_their_rows(spark, monkeypatch):
+    from tiffin.catalog import models
+
+    label, calls = _counted(spark, F.col(LABEL), "double")
+    small = training.regressor
+    monkeypatch.setattr(training, "regressor", lambda name, depth, trees: small(name, 1, 1 + trees // 40))
+    monkeypatch.setattr(models, "_models", {})
+    monkeypatch.setattr(models, "training_rows", lambda *_, **__: _few_rows(spark).withColumn(LABEL, label))
+    first, second = models.gbt_train(spark, "few rows").collect()
+    assert calls.value == 80
+    assert (first["n_trees"], second["n_trees"]) == (1, 2)
+    assert first["n_train"] + first["n_test"] == 80 == second["n_train"] + second["n_test"]
+
+
+def test_stored_rows_keep_missing_keys_and_repeats(spark):
+    rows = _few_rows(spark).withColumn("line_no", F.when(F.col("line_no") % 3 != 0, F.col("line_no")))
+    rows = rows.unionByName(rows)
+    learn, held_out = training.train_test_split(rows, KEYS)
+    result = training.train(rows, KEYS, max_depth=1, max_iter=1)
+    assert (result.n_train, result.n_test) == (learn.count(), held_out.count())
