@@ -194,6 +194,14 @@ def test_both_trainings_of_a_query_share_their_rows(spark, monkeypatch):
     assert first["n_train"] + first["n_test"] == 80 == second["n_train"] + second["n_test"]
 
 
+def test_tuning_builds_a_row_once(spark):
+    rows = _few_rows(spark).select(*TRAINING_NUMERIC_FEATURES, *CATEGORY_FEATURES, LABEL)
+    label, calls = _counted(spark, F.col(LABEL), "double")
+    found = training.tune(rows.withColumn(LABEL, label), depths=[1], iterations=[1, 2])
+    assert calls.value == 80
+    assert len(found.validationMetrics) == 2 and found.bestModel.stages[-1].getNumTrees in (1, 2)
+
+
 def test_stored_rows_keep_missing_keys_and_repeats(spark):
     rows = _few_rows(spark).withColumn("line_no", F.when(F.col("line_no") % 3 != 0, F.col("line_no")))
     rows = rows.unionByName(rows)

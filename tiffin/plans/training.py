@@ -226,7 +226,7 @@ def tune(
         .addGrid(trees.maxIter, iterations or GRID_ITERATIONS)
         .build()
     )
-    return TrainValidationSplit(
+    search = TrainValidationSplit(
         estimator=Pipeline(stages=[*stages, trees]),
         estimatorParamMaps=grid,
         evaluator=RegressionEvaluator(
@@ -235,7 +235,14 @@ def tune(
         trainRatio=TRAIN_PERCENT / 100,
         seed=SEED,
         parallelism=parallelism,
-    ).fit(rows)
+    )
+    # Both sides of the split and every pass of the last fit, on all rows, read the input again.
+    # On disk it takes nothing from the trees, which pass over theirs far more often.
+    stored = rows.persist(StorageLevel.DISK_ONLY)
+    try:
+        return search.fit(stored)
+    finally:
+        stored.unpersist()
 
 
 def score(model: PipelineModel, features: DataFrame, keep: list[str] | None = None) -> DataFrame:
