@@ -4,7 +4,12 @@ import os
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoderModel, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoderModel,
+    SQLTransformer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import functions as F
 
 from tiffin.catalog.models import KEYS, training_rows
@@ -180,6 +185,34 @@ def test_training_hashes_the_keys_of_a_row_once(spark, monkeypatch):
     assert (counted.n_train, counted.n_test) == (learn.count(), held_out.count())
 
 
+def test_the_trees_read_vectors_that_are_built_once(spark, monkeypatch):
+    rows = _few_rows(spark)
+    plain = training.train(rows, KEYS, max_depth=2, max_iter=2)
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        calls.add(1)
+        return value
+
+    spark.udf.register("seen_by_stages", seen, "double")
+    count = SQLTransformer(statement="SELECT *, seen_by_stages(order_value_dbl) AS seen FROM __THIS__")
+    stages = training.feature_stages
+    monkeypatch.setattr(
+        training, "feature_stages",
+        lambda numeric, categories: [count, *stages(["seen", *numeric[1:]], categories)],
+    )
+    counted = training.train(rows, KEYS, max_depth=2, max_iter=2)
+    assert calls.value == 80
+    assert counted.rmse == pytest.approx(plain.rmse)
+    kinds = [type(s) for s in plain.model.stages[:3]]
+    assert kinds == [StringIndexerModel, OneHotEncoderModel, VectorAssembler]
+    whole = training.build_pipeline(max_depth=2, max_iter=2).fit(
+        training.train_test_split(rows, KEYS)[0]
+    )
+    both = whole.transform(rows).select(*KEYS, "prediction")
+    assert both.exceptAll(plain.model.transform(rows).select(*KEYS, "prediction")).count() == 0
+
+
 def test_both_trainings_of_a_query_share_their_rows(spark, monkeypatch):
     from tiffin.catalog import models
 
