@@ -241,3 +241,81 @@ def test_stored_rows_keep_missing_keys_and_repeats(spark):
     learn, held_out = training.train_test_split(rows, KEYS)
     result = training.train(rows, KEYS, max_depth=1, max_iter=1)
     assert (result.n_train, result.n_test) == (learn.count(), held_out.count())
+
+
+def _many_rows(spark, n):
+    """Feature rows with numbers of many values, gaps among the labels and an effect of each kind."""
+    spread = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(9973)) / 7.0 - 300 for k in range(3)]
+    few = [F.pmod(F.col("id") * 31, F.lit(k + 2)) * 1.0 for k in range(6)]
+    labels = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(k * k)) for k in (2, 3, 4, 5)]
+    df = spark.range(n, numPartitions=3).select(
+        *[c.alias(name) for name, c in zip(TRAINING_NUMERIC_FEATURES, spread + few, strict=True)],
+        *[
+            F.when(c > 0, F.concat(F.lit("v"), c)).alias(name)
+            for name, c in zip(CATEGORY_FEATURES, labels, strict=True)
+        ],
+    )
+    first, second = TRAINING_NUMERIC_FEATURES[:2]
+    effect = F.when(F.col(CATEGORY_FEATURES[3]) == "v7", 40).otherwise(0) + F.abs(second) / 9
+    return df.withColumn(LABEL, effect + F.pmod(F.col(first), F.lit(50.0)))
+
+
+@pytest.mark.parametrize("n", [300, 24000])
+def test_trees_are_those_of_the_trainer_of_spark(spark, n):
+    rows = _many_rows(spark, n).persist()
+    ours = training.build_pipeline(max_depth=4, max_iter=4)
+    spark_s = Pipeline(stages=ours.getStages()).fit(rows)
+    fitted = ours.fit(rows)
+    for mine, theirs in zip(fitted.stages[-1].trees, spark_s.stages[-1].trees, strict=True):
+        assert (mine.depth, mine.numNodes) == (theirs.depth, theirs.numNodes)
+    assert fitted.stages[-1].treeWeights == spark_s.stages[-1].treeWeights
+    assert fitted.stages[-1].explainParams() == spark_s.stages[-1].explainParams()
+    scored = spark_s.transform(fitted.transform(rows).withColumnRenamed("prediction", "mine").drop(
+        "features", *[f"{c}_{kind}" for c in CATEGORY_FEATURES for kind in ("idx", "vec")]
+    ))
+    assert scored.agg(F.max(F.abs(F.col("mine") - F.col("prediction")))).first()[0] < 1e-9
+    rows.unpersist()
+
+
+def test_training_passes_over_codes_and_not_over_vectors(spark, monkeypatch):
+    """The passes of Spark's trainer over vectors took hours of core time on large tables."""
+    from pyspark.ml.regression import GBTRegressor
+
+    from tiffin.plans import boosting
+
+    def forbidden(*_):
+        raise AssertionError("fitted on vectors")
+
+    layouts, boost = [], boosting._boost
+    monkeypatch.setattr(boosting, "_boost", lambda frame, layout, *more: layouts.append(
+        (layout, frame.selectExpr("sum(length(codes) + length(errors))").first()[0])
+    ) or boost(frame, layout, *more))
+    monkeypatch.setattr(GBTRegressor, "_fit", forbidden)
+    result = training.train(_few_rows(spark), KEYS, max_depth=2, max_iter=2)
+    ((layout, stored),) = layouts
+    assert stored <= 20 * result.n_train
+    slots = result.model.stages[-1].numFeatures
+    assert len(layout.groups) < len(layout.features) < slots
+    training.tune(
+        _few_rows(spark).select(*TRAINING_NUMERIC_FEATURES, *CATEGORY_FEATURES, LABEL),
+        depths=[1], iterations=[1],
+    )
+
+
+def test_plans_of_later_trees_do_not_grow(spark, monkeypatch):
+    from tiffin.plans import boosting
+
+    plans, grow = [], boosting._grow
+    monkeypatch.setattr(boosting, "_grow", lambda frame, *more: plans.append(
+        frame._jdf.queryExecution().optimizedPlan().toString()
+    ) or grow(frame, *more))
+    training.train(_few_rows(spark), KEYS, max_depth=1, max_iter=4)
+    assert len({plan.count("\n") for plan in plans}) == 1 and plans[0].count("\n") < 6
+
+
+def test_missing_numbers_and_labels_stop_the_trees(spark):
+    rows = _few_rows(spark).select(*TRAINING_NUMERIC_FEATURES, *CATEGORY_FEATURES, LABEL)
+    for gap in (TRAINING_NUMERIC_FEATURES[1], LABEL):
+        holed = rows.withColumn(gap, F.when(F.col(gap) > 0, F.col(gap)))
+        with pytest.raises(Exception, match="missing"):
+            training.build_pipeline(max_depth=1, max_iter=1).fit(holed)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tiffin.operators.clean import drop_null_label
+from tiffin.plans.boosting import fit_trees
 from tiffin.schemas import CATEGORY_FEATURES, LABEL, TRAINING_NUMERIC_FEATURES
 from tiffin.session import ensure_checkpoint_dir
 
@@ -73,6 +74,20 @@ def regressor(label: str = LABEL, max_depth: int = MAX_DEPTH, max_iter: int = MA
     )
 
 
+class TreePipeline(Pipeline):
+    """Feature stages and boosted trees; the trees are fitted by `boosting.fit_trees`.
+
+    The trees read the columns behind their vector, which are stored while that lasts: no vector
+    is made, and a row is indexed once.
+    """
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        *features, trees = self.getStages()
+        prepared = Pipeline(stages=features).fit(dataset)
+        model = fit_trees(trees, prepared.stages, prepared.transform(dataset))
+        return PipelineModel(stages=[*prepared.stages, model])
+
+
 def build_pipeline(
     numeric: list[str] | None = None,
     categories: list[str] | None = None,
@@ -81,29 +96,7 @@ def build_pipeline(
     max_iter: int = MAX_ITER,
 ) -> Pipeline:
     stages = feature_stages(numeric or TRAINING_NUMERIC_FEATURES, categories or CATEGORY_FEATURES)
-    return Pipeline(stages=[*stages, regressor(label, max_depth, max_iter)])
-
-
-def fit_pipeline(
-    rows: DataFrame,
-    numeric: list[str],
-    categories: list[str],
-    label: str = LABEL,
-    max_depth: int = MAX_DEPTH,
-    max_iter: int = MAX_ITER,
-) -> PipelineModel:
-    """`build_pipeline` fitted, with the vectors stored between the feature stages and the trees.
-
-    The trees read their input three times before the first round, and would index, encode and
-    assemble every row each time. On disk the vectors take no memory from the rounds.
-    """
-    prepared = Pipeline(stages=feature_stages(numeric, categories)).fit(rows)
-    vectors = prepared.transform(rows).select("features", label).persist(StorageLevel.DISK_ONLY)
-    try:
-        trees = regressor(label, max_depth, max_iter).fit(vectors)
-    finally:
-        vectors.unpersist()
-    return PipelineModel(stages=[*prepared.stages, trees])
+    return TreePipeline(stages=[*stages, regressor(label, max_depth, max_iter)])
 
 
 @dataclass
@@ -213,7 +206,7 @@ def train_stored(
     ensure_checkpoint_dir(stored.sparkSession)
     learn, held_out = _sides(drop_null_label(stored, label), F.col(BUCKET))
     n_train = check_labels(learn, categories, max_labels)
-    model = fit_pipeline(learn, numeric, categories, label, max_depth, max_iter)
+    model = build_pipeline(numeric, categories, label, max_depth, max_iter).fit(learn)
     mean = learn.agg(F.avg(label)).first()[0]
     error = F.col(label) - F.col("prediction")
     offset = F.col(label) - F.lit(mean)
@@ -249,7 +242,7 @@ def tune(
         .build()
     )
     search = TrainValidationSplit(
-        estimator=Pipeline(stages=[*stages, trees]),
+        estimator=TreePipeline(stages=[*stages, trees]),
         estimatorParamMaps=grid,
         evaluator=RegressionEvaluator(
             labelCol=label, predictionCol="prediction", metricName="rmse"
